@@ -30,7 +30,7 @@ def probation_metrics(envelope: DataFrame, sessions: DataFrame, seconds: int = P
         "streamer", "event_type", "ts", "repeat_count", "coins", "viewers", "taps"
     )
     matched = events_within(
-        events.where(F.col("ts").isNotNull()), lasting, key="streamer", ts="ts",
+        events, lasting, key="streamer", ts="ts",
         start="session_start", end="probation_end", bucket_seconds=max(1, int(seconds)),
     )
     measures = ["event_type", "repeat_count", "coins", "viewers", "taps"]

@@ -9,7 +9,7 @@ from roomtide.functions.casts import event_time, to_bigint, to_double, to_flag
 from roomtide.functions.timeparts import seconds_between
 from roomtide.operators.gold import in_usd
 from roomtide.operators.joins import events_within, time_bucket
-from roomtide.operators.silver import payload_text
+from roomtide.operators.silver import text_column, with_payload_text
 
 SESSION = ("streamer", "session_start", "session_end")
 HOUR = 3600
@@ -21,13 +21,13 @@ def activity(envelope: DataFrame) -> DataFrame:
         "unique_id", "user", "gift_name", "diamond_count", "repeat_count", "streaking", "usd_value",
         "viewer_count", "batch_count", "total_room_likes",
     ]
-    parsed = envelope.withColumn("_payload", payload_text(keys))
+    parsed = with_payload_text(envelope, keys)
 
     def only(kind: str, value: Column) -> Column:
         return F.when(F.col("event_type") == kind, value)
 
     def text(key: str) -> Column:
-        return F.col(f"_payload.{key}")
+        return F.col(text_column(key))
 
     repeat = F.coalesce(to_bigint(text("repeat_count")), F.lit(1))
     diamonds = F.coalesce(to_bigint(text("diamond_count")), F.lit(0))

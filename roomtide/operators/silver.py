@@ -33,10 +33,19 @@ def typed(envelope: DataFrame, kind: str, mode: str = "batch") -> DataFrame:
     return _batch(rows, PAYLOADS[kind], with_taxonomy=mode == "batch")
 
 
-def payload_text(fields: list[str], data: str = "data") -> Column:
-    """One parse of the payload into a struct of raw texts (JSON null and absent -> NULL)."""
-    schema = ", ".join(f"`{name}` string" for name in fields)
-    return F.from_json(F.col(data), schema, {"mode": "PERMISSIVE"})
+def with_payload_text(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the payload's raw texts as columns ``_<key>`` (JSON null and absent -> NULL).
+
+    One parse for all keys. ``json_tuple`` is a generator: Spark does not push later filters on its
+    columns below it, which for a plain projection would mean a second parse inside the filter, while
+    filters on the envelope still reach the scan.
+    """
+    names = [text_column(k) for k in keys]
+    return rows.select("*", F.json_tuple("data", *keys).alias(*names))
+
+
+def text_column(key: str) -> str:
+    return f"_{key}"
 
 
 def archetype_or_general() -> Column:
@@ -46,7 +55,7 @@ def archetype_or_general() -> Column:
 def _batch(rows: DataFrame, fields: tuple[Field, ...], with_taxonomy: bool) -> DataFrame:
     fields = tuple(f for f in fields if not f.live_only)
     keys = [k for f in fields for k in (f.key, f.legacy_key) if k]
-    parsed = rows.withColumn(PAYLOAD, payload_text(keys))
+    parsed = with_payload_text(rows, keys)
     taxonomy = [F.col("category"), archetype_or_general().alias("archetype")] if with_taxonomy else []
     return parsed.select(
         event_time(F.col("received_at")).alias("event_timestamp"),
@@ -57,9 +66,9 @@ def _batch(rows: DataFrame, fields: tuple[Field, ...], with_taxonomy: bool) -> D
 
 
 def _batch_value(field: Field) -> Column:
-    text = F.col(f"{PAYLOAD}.{field.key}")
+    text = F.col(text_column(field.key))
     if field.legacy_key:
-        text = F.coalesce(text, F.col(f"{PAYLOAD}.{field.legacy_key}"))
+        text = F.coalesce(text, F.col(text_column(field.legacy_key)))
     if field.absent is not None:
         text = F.coalesce(text, F.lit(field.absent))
     match field.type:
@@ -73,7 +82,10 @@ def _batch_value(field: Field) -> Column:
 
 
 def _live(rows: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
-    parsed = rows.withColumn(PAYLOAD, F.try_parse_json("data"))
+    # Text fields keep their JSON type. The one-row generator is there for the same reason as above.
+    schema = ", ".join(f"`{f.key}` {'variant' if f.type == 'text' else 'string'}" for f in fields)
+    payload = F.from_json("data", schema, {"mode": "PERMISSIVE"})
+    parsed = rows.withColumn(PAYLOAD, F.explode(F.array(payload)))
     return parsed.select(
         live_time(F.col("received_at")).alias("event_timestamp"),
         F.coalesce("streamer", F.lit("")).alias("streamer"),
@@ -84,17 +96,15 @@ def _live(rows: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
 
 
 def _live_value(field: Field) -> Column:
-    path = f"$.{field.key}"
-    text = F.try_variant_get(PAYLOAD, path, "string")
+    value = F.col(f"{PAYLOAD}.{field.key}")
     match field.type:
         case "count":
-            return F.greatest(F.coalesce(to_bigint(text), F.lit(0)), F.lit(0)).cast("bigint")
+            return F.greatest(F.coalesce(to_bigint(value), F.lit(0)), F.lit(0)).cast("bigint")
         case "code":
-            return F.coalesce(to_bigint(text), F.lit(0)).try_cast("int")
+            return F.coalesce(to_bigint(value).try_cast("int"), F.lit(0))
         case "number":
-            return F.coalesce(to_double(text), F.lit(0.0))
+            return F.coalesce(to_double(value), F.lit(0.0))
         case "flag":
-            return F.coalesce(to_flag(text), F.lit(False))
+            return F.coalesce(to_flag(value), F.lit(False))
     # Only a JSON string counts as text here: a number or object gives ''.
-    shape = F.schema_of_variant(F.try_variant_get(PAYLOAD, path, "variant"))
-    return F.when(shape == "STRING", text).otherwise(F.lit(""))
+    return F.when(F.schema_of_variant(value) == "STRING", value.cast("string")).otherwise(F.lit(""))
