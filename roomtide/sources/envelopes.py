@@ -22,15 +22,14 @@ def parse_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     lenient = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     # The one-row generator keeps Spark from parsing again for each filter on a parsed column.
-    parsed = (
-        lines.select(F.col(column).cast("string").alias("raw"))
-        .where(F.length(F.trim("raw")) > 0)
-        .withColumn("e", F.explode(F.array(F.from_json("raw", WITH_CORRUPT, lenient))))
+    parsed = lines.select(F.col(column).cast("string").alias("raw")).withColumn(
+        "e", F.explode(F.array(F.from_json("raw", WITH_CORRUPT, lenient)))
     )
     malformed = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull()
+    blank = malformed & (F.length(F.trim("raw")) == 0)
     undated = event_time(F.col("e.received_at")).isNull()
     problem = F.when(malformed, REASONS[0]).when(undated, REASONS[1])
-    return parsed.select("raw", *[f"e.{c}" for c in ENVELOPE_COLUMNS], problem.alias("problem"))
+    return parsed.where(~blank).select("raw", *[f"e.{c}" for c in ENVELOPE_COLUMNS], problem.alias("problem"))
 
 
 def good(parsed: DataFrame) -> DataFrame:
