@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.functions.identity import filled
 from roomtide.sources.archive import PARTITIONS, archive_columns
 
 ROWS_PER_FILE = 1_000_000
+RECEIVED_AT = r'"received_at"\s*:\s*"([^"]*)"'
 
 
 def write_archive(messages: DataFrame, root: str, batch_id: int, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write (topic, value) rows as they are under topic and hour of receipt (UTC).
 
-    Each batch has its own folder below the hour, which a replay replaces. Messages without a readable
-    time land in the null partition of the hour columns and are not lost.
+    Each batch has its own folder below the hour, which a replay replaces. A damaged message is filed
+    under the time that can be found in its text; without one it lands in the null partition of the
+    hour columns and is not lost.
     """
-    received = F.get_json_object("value", "$.received_at")
+    found = filled(F.regexp_extract("value", RECEIVED_AT, 1))
+    received = F.coalesce(F.get_json_object("value", "$.received_at"), found)
     parts = archive_columns(F.col("topic"), received)
     (
         messages.withColumns({**parts, "batch": F.lit(batch_id)})
