@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
+SALTS = 8  # a power of two
 
 
-def _salt(rows: DataFrame, on: list[str], salts: int) -> Column:
-    """A salt that depends on the row alone, so that a retried task puts it in the same place."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in on]), F.lit(salts)).cast("int")
+def _salt(on: list[str], salts: int) -> Column:
+    """A salt that depends on the row alone, so that a retried task puts it in the same place.
+
+    The bit mask cannot be NULL, so Spark adds no filter that would compute the hash again.
+    """
+    if salts < 1 or salts & (salts - 1):
+        raise ValueError(f"salts must be a power of two, not {salts}")
+    return F.xxhash64(*[F.col(c) for c in on]).bitwiseAND(F.lit(salts - 1)).cast("int")
 
 
 def join_unique(big: DataFrame, unique: DataFrame, key: str, spread: list[str], how: str = "inner",
@@ -20,7 +25,7 @@ def join_unique(big: DataFrame, unique: DataFrame, key: str, spread: list[str],
     ``spread`` names columns of ``big`` that vary within a key. Where ``unique`` turns out small,
     Spark's own size check makes this a broadcast join and nothing is shuffled.
     """
-    salted = big.withColumn("_salt", _salt(big, spread, salts))
+    salted = big.withColumn("_salt", _salt(spread, salts))
     copies = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
@@ -36,9 +41,8 @@ def events_within(events: DataFrame, spans: DataFrame, *, key: str, ts: str, sta
     A bare join on the key would meet every event of a hot key with every one of its spans in one
     task. Joined on (key, time bucket, salt), a task sees a slice of time, and only a share of that.
     """
-    spread = [c for c in events.columns if c != key]
     placed = events.withColumns(
-        {"_bucket": time_bucket(F.col(ts), bucket_seconds), "_salt": _salt(events, spread, salts)}
+        {"_bucket": time_bucket(F.col(ts), bucket_seconds), "_salt": _salt([ts], salts)}
     )
     first, last = (time_bucket(F.col(c), bucket_seconds) for c in (start, end))
     copies = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions.casts import event_time
@@ -13,10 +13,12 @@ EVERY = "5 minutes"
 
 def window_counts(timed: DataFrame, every: str = EVERY) -> DataFrame:
     """Events per window, in all and per known type; usable on batch and stream."""
-    return timed.groupBy(F.window("ts", every)).agg(
-        F.count(F.lit(1)).alias("events"),
-        *[F.count_if(F.col("event_type") == kind).alias(kind) for kind in TABLES],
-    )
+    return timed.groupBy(F.window("ts", every)).agg(*_counts())
+
+
+def _counts() -> list[Column]:
+    by_kind = [F.count_if(F.col("event_type") == kind).alias(kind) for kind in TABLES]
+    return [F.count(F.lit(1)).alias("events"), *by_kind]
 
 
 def timed_events(envelope: DataFrame) -> DataFrame:
@@ -28,50 +30,45 @@ def heartbeat(envelope: DataFrame, every: str = EVERY) -> DataFrame:
     """One row per window from the first event to the last, quiet windows included.
 
     Totals run from the first event on, ``eps`` is the total over the time up to the window's end.
-    The running sums see one row per window: the calendar bounds them (105,120 a year at five
-    minutes), however many events there are.
+    One scan: events shrink to (window, streamer), then to windows. Only the running sums are global,
+    and they see one row per window: the calendar bounds them (105,120 a year at five minutes),
+    however many events there are.
     """
-    timed = timed_events(envelope)
-    counts = window_counts(timed, every).select(
-        F.col("window.start").alias("window_start"), "events", *TABLES
-    )
-    # (window, streamer) pairs first: the distinct count then runs on the small table.
-    active = (
-        timed.groupBy(F.window("ts", every), "streamer").agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(F.col("window.start").alias("window_start"))
-        .agg(F.count("streamer").alias("active_streamers"))
-    )
-    span = timed.agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     step = F.expr(f"interval {every}")
-    starts = _spine(span, every)
-    running = Window.orderBy("window_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = {
-        name: F.sum(F.coalesce(column, F.lit(0))).over(running)
-        for name, column in [("total_events", "events"), *[(f"{k}_total", k) for k in TABLES]]
-    }
-    joined = (
-        starts.join(counts, "window_start", "left")
-        .join(active, "window_start", "left")
-        .withColumn("window_end", F.col("window_start") + step)
+    start = F.window("ts", every).getField("start")
+    per_streamer = timed_events(envelope).groupBy(start.alias("window_start"), "streamer").agg(
+        *_counts(), F.min("ts").alias("first_ts")
     )
-    uptime = (F.unix_micros("window_end") - F.unix_micros("first_ts")) / F.lit(1_000_000.0)
-    return joined.select(
+    per_window = per_streamer.groupBy("window_start").agg(
+        F.count("streamer").alias("active"),
+        *[F.sum(c).alias(c) for c in ("events", *TABLES)],
+        F.min("first_ts").alias("first_ts"),
+    )
+    in_order = Window.orderBy("window_start")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    busy = per_window.select(
         "window_start",
-        "window_end",
-        F.coalesce("active_streamers", F.lit(0)).alias("active_streamers"),
-        *[c.alias(name) for name, c in totals.items()],
+        "active",
+        F.sum("events").over(so_far).alias("total_events"),
+        *[F.sum(kind).over(so_far).alias(f"{kind}_total") for kind in TABLES],
+        F.min("first_ts").over(so_far).alias("first_ts"),
+        F.lead("window_start").over(in_order).alias("next_start"),
+    )
+    # A busy window stands for the quiet ones behind it as well.
+    until = F.coalesce(F.col("next_start") - step, F.col("window_start"))
+    beats = busy.withColumn("beat", F.explode(F.sequence("window_start", until, step)))
+    end = F.col("beat") + step
+    uptime = (F.unix_micros(end) - F.unix_micros("first_ts")) / F.lit(1_000_000.0)
+    return beats.select(
+        F.col("beat").alias("window_start"),
+        end.alias("window_end"),
+        F.when(F.col("beat") == F.col("window_start"), F.col("active")).otherwise(0).alias("active_streamers"),
+        "total_events",
+        *[f"{kind}_total" for kind in TABLES],
         uptime.alias("uptime_seconds"),
     ).withColumn("eps", F.col("total_events") / F.col("uptime_seconds"))
 
 
-def _spine(span: DataFrame, every: str) -> DataFrame:
-    first = span.withColumn("window_start", F.window("first_ts", every).getField("start"))
-    return first.select(
-        "first_ts",
-        F.explode(F.sequence("window_start", "last_ts", F.expr(f"interval {every}"))).alias("window_start"),
-    )
-
-
 def breakdown(beats: DataFrame) -> DataFrame:
     """Heartbeat totals in long form, types without events left out."""
     kinds = ", ".join(f"'{k}', {k}_total" for k in TABLES)

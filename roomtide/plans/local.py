@@ -25,11 +25,13 @@ def reports(events: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFr
     }
 
 
-def run_local(spark: SparkSession, input_path: str, out_dir: str | None = None) -> dict[str, DataFrame]:
+def run_local(spark: SparkSession, input_path: str, out_dir: str | None = None,
+              include_malformed: bool = False) -> dict[str, DataFrame]:
     """Typed tables, reports and the quarantine by name; the tables go to ``out_dir`` if one is given.
 
     A missing input stops the run. Without ``out_dir`` nothing runs until a result is used. With it,
-    the reports read the typed columns back instead of parsing the text again.
+    the reports read the typed columns back instead of parsing the text again. ``include_malformed``
+    counts unreadable lines in the overview, under no type.
     """
     parsed = read_jsonl(spark, input_path)
     tables = local_tables(good(parsed))
@@ -39,9 +41,10 @@ def run_local(spark: SparkSession, input_path: str, out_dir: str | None = None)
             name: spark.read.schema(df.schema).parquet(path)
             for (name, df), path in zip(tables.items(), paths)
         }
+    events = well_formed(parsed, include_malformed)
     return {
         **{f"silver_{name}": df for name, df in tables.items()},
-        **reports(well_formed(parsed), tables),
-        "event_types": gold.event_types(well_formed(parsed)),
+        **reports(events, tables),
+        "event_types": gold.event_types(events),
         "quarantine": quarantined(parsed),
     }

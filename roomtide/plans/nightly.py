@@ -10,7 +10,7 @@ from roomtide.operators.silver import typed
 from roomtide.schemas import ENVELOPE, TABLES
 from roomtide.sinks.tables import write_day
 from roomtide.sources.archive import ANY_TOPIC, day_parts, read_day
-from roomtide.sources.envelopes import parse_envelopes
+from roomtide.sources.envelopes import MALFORMED, good, parse_envelopes, quarantined, well_formed
 
 SUMMARY = "date string, item string, rows bigint, path string"
 
@@ -29,21 +29,22 @@ def run_nightly(spark: SparkSession, lake_root: str, date: str, dry_run: bool =
     """Type the archive of ``date`` and replace that day's tables; gives a summary row per table.
 
     The text is parsed once and kept for the counts and the writes; lost blocks are parsed anew. A
-    table without rows is not written. A dry run only counts. Undated and unreadable lines go to a
-    quarantine folder of the day.
+    table without rows is not written, a day without rows does nothing. A dry run writes nothing and
+    counts all event types instead. Undated and unreadable lines go to a quarantine folder of the day.
     """
     lines = read_day(spark, lake_root, date, topics)
     if lines is None:
         return spark.createDataFrame([], SUMMARY)
+    if dry_run:
+        return _type_counts(well_formed(parse_envelopes(lines)), date)
     parsed = parse_envelopes(lines).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = _counts(parsed)
-        if dry_run or counts["total"] == 0:
-            rows = [(date, item, n, None) for item, n in counts.items()] if counts["total"] else []
-            return spark.createDataFrame(rows, SUMMARY)
+        if counts["total"] + counts["quarantine"] == 0:
+            return spark.createDataFrame([], SUMMARY)
         root = out_root or lake_root
         summary = [(date, "total", counts["total"], None)]
-        envelope = parsed.where(F.col("problem").isNull())
+        envelope = good(parsed)
         for kind, table in TABLES.items():
             path = None
             if counts[table]:
@@ -52,19 +53,30 @@ def run_nightly(spark: SparkSession, lake_root: str, date: str, dry_run: bool =
             summary.append((date, table, counts[table], path))
         if counts["quarantine"]:
             path = day_folder(root, "quarantine", date)
-            bad = parsed.where(F.col("problem").isNotNull()).select("raw", "problem")
-            bad.write.mode("overwrite").partitionBy("problem").parquet(path)
+            quarantined(parsed).write.mode("overwrite").partitionBy("reason").parquet(path)
             summary.append((date, "quarantine", counts["quarantine"], path))
         return spark.createDataFrame(summary, SUMMARY)
     finally:
         parsed.unpersist()
 
 
+def _type_counts(events: DataFrame, day: str) -> DataFrame:
+    """The total and the count of each event type, in one aggregation."""
+    counted = events.rollup("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.grouping("event_type").alias("all_types")
+    )
+    item = F.when(F.col("all_types") == 1, "total").otherwise(F.coalesce("event_type", F.lit("(none)")))
+    found = counted.where(F.col("rows") > 0).orderBy(F.desc("all_types"), F.desc("rows"), "event_type")
+    return found.select(
+        F.lit(day).alias("date"), item.alias("item"), "rows", F.lit(None).cast("string").alias("path")
+    )
+
+
 def _counts(parsed: DataFrame) -> dict[str, int]:
     """Total and per-table counts in one aggregation with one result row."""
     ok = F.col("problem").isNull()
     row = parsed.agg(
-        F.count_if(~F.col("problem").eqNullSafe("malformed_json")).alias("total"),
+        F.count_if(~F.col("problem").eqNullSafe(MALFORMED)).alias("total"),
         *[F.count_if(ok & (F.col("event_type") == kind)).alias(table) for kind, table in TABLES.items()],
         F.count_if(~ok).alias("quarantine"),
     ).first()

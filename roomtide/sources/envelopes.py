@@ -12,11 +12,11 @@ from roomtide.schemas import ENVELOPE, ENVELOPE_COLUMNS
 
 CORRUPT = "_corrupt_record"
 WITH_CORRUPT = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())])
-REASONS = ("malformed_json", "bad_timestamp")
+MALFORMED, UNDATED = "malformed_json", "bad_timestamp"
 
 
 def parse_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Each line's envelope, its text as ``raw``, and ``problem``: NULL or one of ``REASONS``.
+    """Each line's envelope, its text as ``raw``, and ``problem``: NULL, ``MALFORMED`` or ``UNDATED``.
 
     ``data`` stays the text it was. Missing envelope fields are NULL; blank lines are skipped.
     """
@@ -28,7 +28,7 @@ def parse_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
     malformed = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull()
     blank = malformed & (F.length(F.trim("raw")) == 0)
     undated = event_time(F.col("e.received_at")).isNull()
-    problem = F.when(malformed, REASONS[0]).when(undated, REASONS[1])
+    problem = F.when(malformed, MALFORMED).when(undated, UNDATED)
     return parsed.where(~blank).select("raw", *[f"e.{c}" for c in ENVELOPE_COLUMNS], problem.alias("problem"))
 
 
@@ -45,7 +45,7 @@ def well_formed(parsed: DataFrame, include_malformed: bool = False) -> DataFrame
 
     ``include_malformed`` adds the unreadable lines as all-NULL rows, as a lenient JSON scan shows them.
     """
-    unreadable = F.col("problem").eqNullSafe(REASONS[0])
+    unreadable = F.col("problem").eqNullSafe(MALFORMED)
     if not include_malformed:
         return parsed.where(~unreadable).select(*ENVELOPE_COLUMNS)
     return parsed.select(*[F.when(~unreadable, F.col(c)).alias(c) for c in ENVELOPE_COLUMNS])

@@ -87,8 +87,9 @@ def test_nightly_run_twice_gives_the_same(spark, lake, tmp_path):
 
 def test_dry_run_writes_nothing(spark, lake, tmp_path):
     out = tmp_path / "out"
-    summary = {r.item: r.rows for r in run_nightly(spark, lake[0], DAY, dry_run=True, out_root=str(out)).collect()}
-    assert summary["total"] > summary["gifts"] > 0 and not out.exists()
+    rows_of = {r.item: r.rows for r in run_nightly(spark, lake[0], DAY, dry_run=True, out_root=str(out)).collect()}
+    total = rows_of.pop("total")
+    assert total == sum(rows_of.values()) and {"gift", "battle"} <= set(rows_of) and not out.exists()
 
 
 def test_day_without_data(spark, lake):
