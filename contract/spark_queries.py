@@ -110,12 +110,38 @@ def partitions(spark, sf_dir):
     return placed.groupBy("topic", "year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("messages"))
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def written_once(name: str):
+    """Run the job ``build(spark, sf_dir, root)`` once per session and tables; gives its folder."""
+    def decorate(build):
+        def folder(spark, sf_dir):
+            key = (spark.sparkContext.applicationId, sf_dir, name)
+            if key not in _written:
+                root = scratch(spark, name)
+                build(spark, sf_dir, root)
+                _written[key] = root
+            return _written[key]
+
+        return folder
+
+    return decorate
+
+
+@written_once("archive")
+def archive_of(spark, sf_dir, root):
+    """All messages in the hourly archive, each hour written by one of the local tasks."""
+    hour = F.substring(F.get_json_object("value", "$.received_at"), 1, 13)
+    messages = to_messages(bronze(spark, sf_dir))
+    write_archive(messages.repartition(spark.sparkContext.defaultParallelism, "topic", hour), root, batch_id=0)
+
+
 def archived_days(spark, sf_dir):
-    """Every event through the archive and back, typed and counted per folder day."""
-    root = scratch(spark, "archive")
-    write_archive(to_messages(bronze(spark, sf_dir)), root, batch_id=0)
-    lines = read_all_days(spark, root)
-    events = lines.withColumn("event_type", F.get_json_object("value", "$.event_type"))
+    """Every event through the archive and back, counted per folder day."""
+    events = read_all_days(spark, archive_of(spark, sf_dir)).withColumn(
+        "event_type", F.get_json_object("value", "$.event_type")
+    )
     gifts = F.when(
         F.col("event_type") == "gift",
         F.get_json_object("value", "$.data.diamond_count").cast("bigint"),
@@ -127,19 +153,19 @@ def archived_days(spark, sf_dir):
 
 def archived_gifts(spark, sf_dir):
     """Typed gifts out of the archive: the same rows as without it."""
-    root = scratch(spark, "archive")
-    write_archive(to_messages(bronze(spark, sf_dir)), root, batch_id=0)
-    return typed(good(parse_envelopes(read_all_days(spark, root))), "gift")
+    return typed(good(parse_envelopes(read_all_days(spark, archive_of(spark, sf_dir)))), "gift")
 
 
-def streamed(spark, sf_dir) -> str:
-    """The damaged lines through the routing query; gives the folder of the live tables."""
-    root = scratch(spark, "live")
-    lines = spark_input(spark, sf_dir, inputs.LINES).select("value")
-    lines.write.text(f"{root}/in")
+@written_once("live")
+def live_tables_of(spark, sf_dir, root):
+    """The damaged lines through the routing query."""
+    spark_input(spark, sf_dir, inputs.LINES).select("value").write.text(f"{root}/in")
     query = start_live(file_lines(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint")
     query.awaitTermination()
-    return f"{root}/out"
+
+
+def streamed(spark, sf_dir) -> str:
+    return f"{live_tables_of(spark, sf_dir)}/out"
 
 
 def live_routing(spark, sf_dir):
