@@ -160,7 +160,7 @@ def summary(source: str, keys: str, bounds: str) -> str:
 def session_top(column: str, measure: str, total: str, n: int, extra: str = "") -> str:
     return with_bronze(
         f"""select * {extra} from (select streamer, {column}, {total},
- row_number() over (partition by streamer order by {total} desc, {column} asc nulls last) as rank
+ cast(row_number() over (partition by streamer order by {total} desc, {column} asc nulls last) as integer) as rank
  from (select streamer, {column}, cast(sum({measure}) as bigint) as {total} from activity where is_final group by 1, 2) a) r
  where rank <= {n}""",
         activity=ACTIVITY,
@@ -231,7 +231,7 @@ def fold(cooldown: str = "last") -> dict[str, str]:
 
 
 CHECK_CTE = """select *, case when op_outcome = 'blacklist' then 'invalid' when op_outcome <> 'live' then 'offline' end as op,
- case when op_outcome = 'offline' then 180 when op_outcome = 'error' then 300 end as delay_sec,
+ cast(case when op_outcome = 'offline' then 180 when op_outcome = 'error' then 300 end as bigint) as delay_sec,
  case when op_outcome = 'blacklist' then 'incapable_of_live' end as reason
  from (select *, case when error is not null then
    case when contains(lower(error), 'not capable of going live') or contains(lower(error), 'does not exist')

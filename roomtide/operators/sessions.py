@@ -94,7 +94,10 @@ def session_summary(envelope: DataFrame, sessions: DataFrame | None = None) -> D
         bounds = [F.min("ts").alias("session_start"), F.max("ts").alias("session_end")]
     else:
         keys, bounds = list(SESSION), []
-        events = _in_sessions(events, sessions)
+        # The sessions themselves join as empty rows, so that a silent one gets its zeros.
+        events = _in_sessions(events, sessions).unionByName(
+            sessions.select(*SESSION), allowMissingColumns=True
+        )
     final = F.col("is_final")
     unpriced = final & F.col("usd_value").isNull()
     totals = events.groupBy(*keys).agg(

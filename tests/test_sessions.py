@@ -64,7 +64,9 @@ def test_burn_rate_without_duration_is_zero(envelope):
 def test_summary_per_session(envelope, spans):
     env = envelope(gift(0), gift(100), gift(101), gift(7300), gift(9000))
     got = session_summary(env, spans(("s1", "npc", 0, 100), ("s1", "npc", 101, 8000), ("s2", "npc", 0, 9)))
-    assert sorted((r.total_diamonds, r.duration_seconds) for r in got.collect()) == [(2, 100.0), (2, 7899.0)]
+    assert sorted((r.total_diamonds, r.duration_seconds) for r in got.collect()) == [
+        (0, 9.0), (2, 100.0), (2, 7899.0)
+    ]
 
 
 def test_top_lists(envelope):

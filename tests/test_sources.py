@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roomtide.operators import gold
 from roomtide.operators.registry import SEEDS, config_events, fold_registry, manual_add
-from roomtide.sinks.messages import append_jsonl, kafka_sink_options, to_messages, write_kafka
+from roomtide.sinks.messages import append_jsonl, kafka_sink_options, stamp, to_messages, write_kafka
 from roomtide.sinks.registry_files import snapshot_info, snapshot_records, write_registry
 from roomtide.sources.archive import day_path, read_day
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined, read_jsonl, well_formed
@@ -60,6 +60,12 @@ def test_messages_keep_the_payload(spark, envelope):
     assert len(good(parse_envelopes(to_messages(env))).collect()) == 3
 
 
+def test_receive_time_is_utc_text_that_reads_back(spark, envelope):
+    stamped = stamp(envelope(event("like", "{}", at=None)))
+    assert stamped.first().received_at.endswith("+00:00")
+    assert quarantined(parse_envelopes(to_messages(stamped))).count() == 0
+
+
 def test_local_file_is_appended(spark, envelope, tmp_path):
     path = str(tmp_path / "local")
     append_jsonl(envelope(event("gift", '{"user_id":"1"}')), path)
