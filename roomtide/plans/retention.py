@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomtide.functions.timeparts import yyyymm
+from roomtide.sinks.folders import child_names, delete_folder
 
 KEEP = "1 year"
 
@@ -29,13 +30,8 @@ def expired_months(months: list[str], now: datetime, years: int = 1) -> list[str
 
 def drop_expired(spark: SparkSession, table_path: str, now: datetime, years: int = 1) -> list[str]:
     """Delete the wholly expired month folders of a live table; gives the months removed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(path)]
-    months = [n.removeprefix("yyyymm=") for n in names if n.startswith("yyyymm=") and n[7:].isdigit()]
-    gone = expired_months(months, now, years)
+    folders = [n.removeprefix("yyyymm=") for n in child_names(spark, table_path) if n.startswith("yyyymm=")]
+    gone = expired_months([m for m in folders if m.isdigit()], now, years)
     for month in gone:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, f"yyyymm={month}"), True)
+        delete_folder(spark, f"{table_path.rstrip('/')}/yyyymm={month}")
     return gone

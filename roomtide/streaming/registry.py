@@ -7,6 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roomtide.operators.registry import as_registry_events, fold_registry
 from roomtide.schemas import REGISTRY
+from roomtide.sinks.folders import delete_folder
+
+KEPT_VERSIONS = 10
 
 
 def _version(root: str, batch_id: int) -> str:
@@ -17,23 +20,29 @@ def read_version(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return spark.read.schema(REGISTRY).parquet(_version(root, batch_id))
 
 
-def advance(events: DataFrame, batch_id: int, root: str, cooldown: str = "last") -> None:
+def advance(events: DataFrame, batch_id: int, root: str, cooldown: str = "last",
+            keep: int = KEPT_VERSIONS) -> None:
     """Write version ``batch_id`` of the registry from the version before it and new events.
 
     A version is a folder that a replay replaces, and it depends on the one before it and on the
     batch alone, so every replay gives the same. The cost is the size of the registry, not of the log.
+    Only the last ``keep`` versions stay; a replay needs the one before its own.
     """
+    if keep < 2:
+        raise ValueError("a replay needs the version before: keep at least 2")
     state = None if batch_id == 0 else read_version(events.sparkSession, root, batch_id - 1)
     fold_registry(events, state, cooldown).write.mode("overwrite").parquet(_version(root, batch_id))
+    if batch_id >= keep:
+        delete_folder(events.sparkSession, _version(root, batch_id - keep))
 
 
 def start_registry(events: DataFrame, root: str, checkpoint: str, every: str | None = None,
-                   cooldown: str = "last") -> StreamingQuery:
+                   cooldown: str = "last", keep: int = KEPT_VERSIONS) -> StreamingQuery:
     """Fold a stream of registry events; events count in the order of ``seq`` within a batch, and of
     batches among each other, as the capture service applies them on arrival."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        advance(batch, batch_id, root, cooldown)
+        advance(batch, batch_id, root, cooldown, keep)
 
     writer = as_registry_events(events).writeStream.foreachBatch(handle)
     writer = writer.option("checkpointLocation", checkpoint)

@@ -120,6 +120,28 @@ def test_day_layout_and_codec(spark, tmp_path, envelope):
     assert all(".zstd." in f.name for f in files)
 
 
+def test_a_hot_streamer_is_split_and_small_ones_share(spark, tmp_path):
+    likes = spark.range(300_000, numPartitions=6).select(
+        F.lit("npc").alias("category"), F.xxhash64("id").alias("value"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 20)).alias("streamer"),
+    )
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        write_day(likes, str(tmp_path / "likes"))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "likes" / "category=npc").iterdir() if d.is_dir()}
+    # Small streamers that hash to the hot one's partition are split along with it; the others are not.
+    assert files.pop("streamer=hot") > 3 and sum(n == 1 for n in files.values()) > len(files) / 2
+    assert spark.read.parquet(str(tmp_path / "likes")).count() == 300_000
+
+
 def test_local_run(spark, tmp_path):
     env = bronze(spark, SF_DIR)
     append_jsonl(env, str(tmp_path / "in"))

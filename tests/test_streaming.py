@@ -120,6 +120,16 @@ def test_registry_stream_equals_the_fold(spark, tmp_path, cooldown):
     assert rows(read_version(spark, root, 3)) == rows(fold_registry(log, cooldown=cooldown))
 
 
+def test_old_registry_versions_go(spark, tmp_path):
+    log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts"))
+    root = str(tmp_path / "registry")
+    for batch in range(4):
+        advance(log.where(F.col("seq") % 4 == batch), batch, root, keep=2)
+    assert sorted(os.listdir(root)) == ["version=2", "version=3"]
+    with pytest.raises(ValueError):
+        advance(log, 4, root, keep=1)
+
+
 def test_registry_query(spark, tmp_path):
     log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts"))
     source = str(tmp_path / "in")
