@@ -361,6 +361,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         **HEARTBEAT_CTES,
     )
+    counted = ", ".join(f"n_{k} as \"{k}\"" for k in KINDS)
+    sql["heartbeat_stream"] = with_bronze(
+        f"""select w as window_start, events, {counted} from counts
+ where w + interval 5 minutes <= (select max(ts) from timed) - interval 10 minutes""",
+        timed=HEARTBEAT_CTES["timed"],
+        counts=HEARTBEAT_CTES["counts"],
+    )
     sql["probation_gate"] = with_bronze(GATE, activity=ACTIVITY, daily=DAILY)
     sql["check_classifier"] = with_input(
         inputs.CHECKS, "select * exclude (op_outcome), op_outcome as outcome from c", c=CHECK_CTE
@@ -371,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
  and username not in (select username from reg where status = 'blacklisted')) as live_now,
  (select count(*) from reg) as total_candidates"""
     )
-    for name, cooldown in (("registry_state", "last"), ("registry_state_max", "max")):
+    for name, cooldown in (("registry_state", "last"), ("registry_in_steps", "last"), ("registry_state_max", "max")):
         sql[name] = with_input(inputs.REGISTRY_LOG, "select * from folded", **fold(cooldown))
     sql["actionable_streamers"] = with_input(
         inputs.REGISTRY_LOG,

@@ -23,13 +23,14 @@ from roomtide.functions.identity import (
 from roomtide.operators import checks, gate, gold, registry, sessions, spider, telemetry
 from roomtide.operators.silver import typed
 from roomtide.plans.retention import retained
-from roomtide.runtime import shared_folder
-from roomtide.schemas import LOCAL_KINDS, TABLES
+from roomtide.runtime import cut_lineage, shared_folder
+from roomtide.schemas import ENVELOPE, LOCAL_KINDS, TABLES
 from roomtide.sinks.archive import write_archive
 from roomtide.sinks.messages import to_messages
 from roomtide.sources.archive import archive_columns, read_all_days
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
+from roomtide.streaming.heartbeat import heartbeat_counts
 from roomtide.streaming.live import read_live, read_quarantine, start_live
 
 # The gate runs on days instead of minutes, because the events are sparse.
@@ -164,6 +165,29 @@ def live_tables_of(spark, sf_dir, root):
     query.awaitTermination()
 
 
+@written_once("heartbeat")
+def heartbeat_stream_of(spark, sf_dir, root):
+    """All envelopes through the windowed streaming counts."""
+    bronze(spark, sf_dir).write.parquet(f"{root}/in")
+    stream = heartbeat_counts(spark.readStream.schema(ENVELOPE).parquet(f"{root}/in"))
+    writer = stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    query = writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").start()
+    query.awaitTermination()
+
+
+def heartbeat_stream(spark, sf_dir):
+    """The windows that are final once all events are in."""
+    return spark.read.parquet(f"{heartbeat_stream_of(spark, sf_dir)}/out")
+
+
+def registry_in_steps(spark, sf_dir):
+    """The first half of the log folded and stored, the second half folded into it."""
+    log = registry_log(spark, sf_dir)
+    middle = log.agg(F.floor((F.min("seq") + F.max("seq")) / 2)).first()[0]
+    first = cut_lineage(registry.fold_registry(log.where(F.col("seq") <= middle)))
+    return registry.fold_registry(log.where(F.col("seq") > middle), first)
+
+
 def streamed(spark, sf_dir) -> str:
     return f"{live_tables_of(spark, sf_dir)}/out"
 
@@ -263,10 +287,12 @@ def queries():
         "session_top_whales": lambda s, d: sessions.session_top(bronze(s, d), "gifter"),
         "heartbeat_rollup": lambda s, d: telemetry.heartbeat(bronze(s, d)),
         "heartbeat_breakdown": lambda s, d: telemetry.breakdown(telemetry.heartbeat(bronze(s, d))),
+        "heartbeat_stream": heartbeat_stream,
         "probation_gate": probation_gate,
         "check_classifier": lambda s, d: checks.classify_checks(check_inputs(s, d)),
         "live_summary": lambda s, d: checks.live_summary(registry_state(s, d), check_inputs(s, d)),
         "registry_state": registry_state,
+        "registry_in_steps": registry_in_steps,
         "registry_state_max": lambda s, d: registry_state(s, d, "max"),
         "actionable_streamers": actionable,
         "candidate_listing": lambda s, d: registry.list_candidates(registry_state(s, d)),

@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from roomtide.runtime import cut_lineage, shared_folder
 
 # These run jobs while they are built; the job tests look at them.
-JOBS = {"archived_days", "nightly_slice", "live_routing", "live_stream_whales", "spider_reach"}
+JOBS = {"archived_days", "nightly_slice", "live_routing", "live_stream_whales", "spider_reach", "heartbeat_stream"}
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - JOBS))
