@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomtide.llm import bpe
+from roomtide.llm import bpe, jaccard
 
 TOKENIZERS = os.environ.get("ROOMTIDE_TOKENIZERS", "/opt/tokenizers")
 
@@ -24,9 +24,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicate_classes(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op7_jaccard_join": op7_jaccard_join,
     }
 
 
