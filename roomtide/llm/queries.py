@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, jaccard
+from roomtide.llm import bpe, huffman, jaccard, sharding
 
 TOKENIZERS = os.environ.get("ROOMTIDE_TOKENIZERS", "/opt/tokenizers")
 
@@ -24,14 +25,27 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_classes(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op9_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_sharding": op2_sharding,
         "op7_jaccard_join": op7_jaccard_join,
+        "op9_huffman_files": op9_huffman_files,
     }
 
 
