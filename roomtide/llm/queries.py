@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, huffman, jaccard, sharding
+from roomtide.llm import bpe, huffman, jaccard, sharding, toxicity
 
 TOKENIZERS = os.environ.get("ROOMTIDE_TOKENIZERS", "/opt/tokenizers")
 
@@ -32,6 +32,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_classes(table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -44,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
         "op2_sharding": op2_sharding,
+        "op6_toxicity": op6_toxicity,
         "op7_jaccard_join": op7_jaccard_join,
         "op9_huffman_files": op9_huffman_files,
     }
