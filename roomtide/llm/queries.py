@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, fingerprints, huffman, jaccard, sharding, toxicity
+from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, preferences, sharding, toxicity
 
 TOKENIZERS = os.environ.get("ROOMTIDE_TOKENIZERS", "/opt/tokenizers")
 
@@ -36,6 +36,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return preferences.format_pairs(preferences.neighbour_pairs(turns), turns)
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_classes(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0)
 
@@ -57,12 +66,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe": op1_bpe,
         "op2_sharding": op2_sharding,
         "op3_decontamination": op3_decontamination,
+        "op4_preferences": op4_preferences,
         "op5_fingerprints": op5_fingerprints,
         "op6_toxicity": op6_toxicity,
         "op7_jaccard_join": op7_jaccard_join,
+        "op8_main_text": op8_main_text,
         "op9_huffman_files": op9_huffman_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_preferences": preferences.ORACLE_SQL}
