@@ -118,15 +118,15 @@ m as (select p.pair_id, coalesce(min(case when a.line is distinct from b.line th
  where n.conv_id = p.chosen_id or a.place is null group by 1),
 s as (select p.pair_id, p.chosen_id, p.rejected_id, m.prompt_turns, n.conv_id = p.chosen_id as is_chosen, n.place, n.role, n.line,
   coalesce(sum(case when n.place > m.prompt_turns then length(n.line) end) over (
-   partition by p.pair_id, n.conv_id order by n.place rows between unbounded preceding and 1 preceding), 0) as at
+   partition by p.pair_id, n.conv_id order by n.place rows between unbounded preceding and 1 preceding), 0) as place_at
  from p join m using (pair_id) join n on n.conv_id in (p.chosen_id, p.rejected_id))
 select pair_id, chosen_id, rejected_id, cast(prompt_turns as integer) as prompt_turns,
  coalesce(string_agg(line, '' order by place) filter (is_chosen and place <= prompt_turns), '') as prompt,
  coalesce(string_agg(line, '' order by place) filter (is_chosen and place > prompt_turns), '') as chosen,
- coalesce(string_agg(concat(cast(at + 13 + length(role) as bigint), '-', cast(at + length(line) - 1 as bigint)), ',' order by place)
+ coalesce(string_agg(concat(cast(place_at + 13 + length(role) as bigint), '-', cast(place_at + length(line) - 1 as bigint)), ',' order by place)
   filter (is_chosen and place > prompt_turns and role = 'assistant'), '') as chosen_spans,
  coalesce(string_agg(line, '' order by place) filter (not is_chosen and place > prompt_turns), '') as rejected,
- coalesce(string_agg(concat(cast(at + 13 + length(role) as bigint), '-', cast(at + length(line) - 1 as bigint)), ',' order by place)
+ coalesce(string_agg(concat(cast(place_at + 13 + length(role) as bigint), '-', cast(place_at + length(line) - 1 as bigint)), ',' order by place)
   filter (not is_chosen and place > prompt_turns and role = 'assistant'), '') as rejected_spans
 from s group by pair_id, chosen_id, rejected_id, prompt_turns
 """
