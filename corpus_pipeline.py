@@ -1,7 +1,8 @@
-"""Corpus preparation over ``documents``: toxic documents go, one document of each near-duplicate group
-stays, documents with benchmark passages go, and the rest is encoded.
+"""Corpus preparation over ``documents``: toxic documents go, one document of each near-duplicate class stays,
+documents with benchmark passages go, and the rest is encoded.
 
-A dropped or null text, a repeated row and an extra column are treated as each operator's module states.
+Null and empty texts are no toxic, no duplicate and no benchmark text, so they stay and have no ids. Null and
+repeated doc_ids are kept apart by their texts. Repeated rows are one class. Extra columns pass the filters.
 """
 
 from __future__ import annotations
@@ -10,17 +11,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomtide.llm import bpe
-from roomtide.llm.queries import vocabulary
+from roomtide.llm import bpe, decontamination, jaccard, toxicity
+from roomtide.llm.queries import table, vocabulary
 from roomtide.llm.support import scratch
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject. It learns from the labels of the documents it is given."""
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.accepted(docs, weights)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of texts that share 80 % of their five-word shingles."""
+    return jaccard.one_of_each_class(docs, width=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return decontamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' token counts and digests."""
     return bpe.round_trip_digests(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", without_toxic),
+    ("near_duplicates", without_near_duplicates),
+    ("benchmark_decontamination", without_benchmark),
     ("bpe_encoding", encoded),
 ]
 

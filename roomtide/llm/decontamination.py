@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.llm.jaccard import text_key
+
 MASKS = ("1111011", "110110011", "1010110101", "11001010011")
 WINDOW = 20
 LEAST_EQUAL = 0.8
@@ -45,10 +47,6 @@ def _laid(rows: DataFrame) -> DataFrame:
     return rows.withColumn("at", F.explode(places)).withColumn("seed", F.explode(_seeds(F.col("at"), F.col("hashes"))))
 
 
-def text_key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, equal, compared) of every text and item that overlap; the best alignment."""
     texts = docs.select(

@@ -41,26 +41,27 @@ def _node(tokens: np.ndarray) -> int:
 
 
 def sketch_table(docs: DataFrame, width: int, percent: int, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node, signatures, sketch of each document."""
+    """doc_id, text_key, n_shingles, node, signatures, sketch of each document."""
     known = parity.bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in column_rows(batches, "doc_id", "text"):
+        for ids, keys, texts in column_rows(batches, "doc_id", "text_key", "text"):
             sets = [parity.shingle_set(t, width) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
+                    pa.array(keys, pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_node(s) for s in sets], pa.int64()),
                     pa.array([known.signatures(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
                     pa.array([parity.dense_sketch(s).tobytes() if len(s) else b"" for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "node", "signatures", "sketch"],
+                ["doc_id", "text_key", "n_shingles", "node", "signatures", "sketch"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, node long, signatures array<long>, sketch binary"
-    )
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text).cast("string").alias("text")
+    ).mapInArrow(run, "doc_id long, text_key long, n_shingles long, node long, signatures array<long>, sketch binary")
 
 
 def _sets(docs: DataFrame, width: int, text: str) -> DataFrame:
@@ -158,8 +159,12 @@ def _meetings(nodes: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: the least doc_id that links lead to."""
+def text_key(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _classes(docs: DataFrame, width: int, percent: int, text: str) -> tuple[DataFrame, DataFrame]:
+    """The documents' sketches, and (node, component, first_id) of every node: nodes of a class have one component."""
     ship(docs.sparkSession)
     sketches = stored(sketch_table(docs, width, percent, text), "sketches")
     worded = sketches.filter(F.col("node") != NO_NODE)
@@ -209,9 +214,36 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, t
         limit *= 4
 
     grouped = worded.groupBy("node").agg(F.min("doc_id").alias("first_id")).join(labels, "node", "left")
-    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
-    least = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    classes = grouped.join(least, "component").select("node", "component_id")
+    return sketches, grouped.withColumn("component", F.coalesce("component", "node"))
+
+
+def near_duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row: the least doc_id that links lead to."""
+    sketches, nodes = _classes(docs, width, percent, text)
+    least = nodes.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    classes = nodes.join(least, "component").select("node", "component_id")
     return sketches.select("doc_id", "n_shingles", "node").join(classes, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_class(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate class, the one of the least doc_id; of equal ones, any.
+
+    Rows without words are in no class and all stay.
+    """
+    sketches, nodes = _classes(docs, width, percent, text)
+    order = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_key")
+    rows = sketches.filter(F.col("node") != NO_NODE).join(nodes.select("node", "component"), "node")
+    rows = stored(rows.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n")), "class-rows")
+    kept = rows.groupBy("component").agg(F.min(order).alias("kept"))
+    judged = rows.join(kept, "component").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "n", (order == F.col("kept")).alias("stays")
+    )
+    gone = judged.filter(~F.col("stays")).select("_id", "_key")
+    repeated = judged.filter(F.col("stays") & (F.col("n") > 1)).select("_id", "_key")
+    gone, repeated = (F.broadcast(p) if p.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else p for p in (gone, repeated))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (text_key(docs[text]) == F.col("_key"))
+    left = docs.join(gone, same, "left_anti")
+    alone = left.join(repeated, same, "left_anti")
+    return alone.unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", text]))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, preferences, sharding, toxicity
+from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, sharding, toxicity
 
 TOKENIZERS = os.environ.get("ROOMTIDE_TOKENIZERS", "/opt/tokenizers")
 
@@ -61,6 +61,10 @@ def op9_huffman_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0)
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -72,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_jaccard_join": op7_jaccard_join,
         "op8_main_text": op8_main_text,
         "op9_huffman_files": op9_huffman_files,
+        "op10_language_model": op10_language_model,
     }
 
 

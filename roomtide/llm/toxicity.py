@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomtide.llm.support import Memo, column_rows, ship, stored
+from roomtide.llm.support import Memo, column_rows, ship
 
 WORD = re.compile(r"\w+")
 BITS = 20
@@ -63,7 +63,7 @@ def features(text: str | None) -> np.ndarray:
 class Ftrl:
     """FTRL-proximal with logistic loss (per-coordinate rates, L1 and L2); the last coordinate is the bias."""
 
-    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 10.0, l2: float = 0.1):
+    def __init__(self, alpha: float = 1.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.1):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(SIZE + 1), np.zeros(SIZE + 1)
 
@@ -103,38 +103,63 @@ def train(labelled: DataFrame, epochs: int = 4, **rates: float) -> list[tuple[in
     return [(r.at, r.weight) for r in rows]
 
 
+def _arrays(weights: list[tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([a for a, _ in weights], np.int64), np.array([w for _, w in weights], np.float64)
+
+
+class Scorer:
+    """A text's score under a list of weights."""
+
+    def __init__(self, at: np.ndarray, weight: np.ndarray):
+        self.dense = np.zeros(SIZE + 1)
+        self.dense[at] = weight
+        self.kept, self.trained = self.dense != 0, len(at) > 0
+
+    def score(self, text: str | None) -> float:
+        found = features(text)
+        found = np.unique(found[self.kept[found]])
+        return float(1 / (1 + np.exp(-np.clip(self.dense[found].sum() + self.dense[SIZE], -35, 35))))
+
+    def predicted(self, score: float) -> int:
+        return int(score >= 0.5) if self.trained else 0
+
+
 def score(docs: DataFrame, weights: list[tuple[int, float]], text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``; columns of these names are replaced."""
+    """doc_id, score (0 to 1) and predicted of every row."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast((
-        np.array([a for a, _ in weights], np.int64), np.array([w for _, w in weights], np.float64),
-    ))
-    kept = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")])
+    shared = spark.sparkContext.broadcast(_arrays(weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, weight = shared.value
-        dense = np.zeros(SIZE + 1)
-        dense[at] = weight
-        kept_at = dense != 0
+        scorer = Scorer(*shared.value)
+        for ids, texts in column_rows(batches, "doc_id", "text"):
+            scores = [scorer.score(t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(scores, pa.float64()),
+                 pa.array([scorer.predicted(s) for s in scores], pa.int32())],
+                ["doc_id", "score", "predicted"],
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, score double, predicted int")
+
 
-        def one(text: str | None) -> float:
-            found = features(text)
-            found = np.unique(found[kept_at[found]])
-            return float(1 / (1 + np.exp(-np.clip(dense[found].sum() + dense[SIZE], -35, 35))))
+def accepted(docs: DataFrame, weights: list[tuple[int, float]], text: str = "text") -> DataFrame:
+    """``docs``, all columns as they are, without the rows that are predicted toxic."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(_arrays(weights))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                scores = [one(t) for t in part.column(part.schema.get_field_index(text)).to_pylist()]
-                predicted = [int(s >= 0.5) if len(at) else 0 for s in scores]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(scores, pa.float64()), pa.array(predicted, pa.int32())],
-                    [*part.schema.names, "score", "predicted"],
-                )
+                texts = part.column(part.schema.get_field_index(text)).to_pylist()
+                stay = np.array([scorer.predicted(scorer.score(t)) == 0 for t in texts], bool)
+                yield part.filter(pa.array(stay))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, score double, predicted int")
+    return docs.mapInArrow(run, docs.schema)
 
 
 def fold(column: str = "doc_id"):
@@ -158,5 +183,4 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 12_000) -> list[
 def score_documents(docs: DataFrame, labels: DataFrame, max_examples: int = 12_000) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     weights = fit(docs, labels, max_examples)
-    scored = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), weights)
-    return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+    return score(docs, weights).select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
