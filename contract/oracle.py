@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from contract import inputs
 from contract.inputs import duck
-from contract.spark_queries import GATE_SECONDS, NOW, RETENTION_NOW
-from roomtide.operators.registry import FAILED_PROBATION_SECONDS, OFFLINE_SECONDS, STREAM_END_SECONDS
-from roomtide.schemas import TABLES
-from roomtide.sinks.messages import TOPIC_PREFIX
+
+# Stated here and not taken from the code under test.
+GATE_SECONDS, OFFLINE_SECONDS, STREAM_END_SECONDS, FAILED_PROBATION_SECONDS = 21_600, 180, 900, 10_800
+NOW = "timestamp '2024-01-28 00:00:00'"
+RETENTION_NOW = "timestamp '2025-01-16 12:00:00'"
+TABLES = {
+    "gift": "gifts", "comment": "comments", "like": "likes", "room_users": "room_viewers", "product_pin": "product_pins",
+}
+TOPIC_PREFIX = "live.events."
 
 TS = "cast(cast(received_at as timestamptz) at time zone 'UTC' as timestamp)"
 ARCHETYPE = "coalesce(nullif(archetype, ''), 'general')"
@@ -238,17 +243,25 @@ CHECK_CTE = """select *, case when op_outcome = 'blacklist' then 'invalid' when
      or contains(lower(error), 'user_not_found') then 'blacklist' else 'error' end
   when is_live then 'live' else 'offline' end as op_outcome from src) c"""
 
+TABLE_OF = f"map([{', '.join(f"'{k}'" for k in TABLES)}], [{', '.join(f"'{t}'" for t in TABLES.values())}])[event_type]"
+
+# More than the longest chain of the derived battles.
+HOPS = 14
+
 OPPONENTS = """select distinct event_id as seq, ts, lower(host) as host, lower(opponent) as opponent
  from (select event_id, ts, host, unnest([anchor1, anchor2, anchor3, rival]) as opponent from src) u
  where opponent is not null and opponent <> '' and lower(opponent) <> lower(host)"""
 
 
 def finds(hosts: str, known: str) -> str:
-    return f"""select opponent as username, arg_min(category, seq) as category,
- arg_min(case when category = 'npc' then 'pk_battler' else archetype end, seq) as archetype,
+    """The first meeting makes the creator; the first that names an archetype settles it."""
+    return f"""select username, arg_min(category, seq) as category,
+ coalesce(arg_min(given, seq) filter (where given <> 'general'), 'general') as archetype,
  concat('pk_battle_@', arg_min(host, seq)) as source, min(seq) as seq
- from opponents join {hosts} h on h.username = host
- where opponent not in (select username from {known}) group by 1"""
+ from (select opponent as username, host, category, seq,
+  case when category = 'npc' then 'pk_battler' else archetype end as given
+  from opponents join {hosts} h on h.username = host) m
+ where username not in (select username from {known}) group by 1"""
 
 
 def message(head: list[str]) -> str:
@@ -363,8 +376,7 @@ def oracle_sql() -> dict[str, str]:
     )
     counted = ", ".join(f"n_{k} as \"{k}\"" for k in KINDS)
     sql["heartbeat_stream"] = with_bronze(
-        f"""select w as window_start, events, {counted} from counts
- where w + interval 5 minutes <= (select max(ts) from timed) - interval 10 minutes""",
+        f"select w as window_start, events, {counted} from counts",
         timed=HEARTBEAT_CTES["timed"],
         counts=HEARTBEAT_CTES["counts"],
     )
@@ -373,9 +385,10 @@ def oracle_sql() -> dict[str, str]:
         inputs.CHECKS, "select * exclude (op_outcome), op_outcome as outcome from c", c=CHECK_CTE
     )
     sql["live_summary"] = (
-        f"with checks as ({duck(inputs.CHECKS)}), reg as ({with_input(inputs.REGISTRY_LOG, 'select * from folded', **fold())}) "
-        """select (select count(*) from checks where error is null and is_live
- and username not in (select username from reg where status = 'blacklisted')) as live_now,
+        f"with checks as ({duck(inputs.CHECKS)}), reg as ({with_input(inputs.REGISTRY_LOG, 'select * from folded', **fold())}), "
+        """last as (select * from checks qualify row_number() over (partition by username order by seq desc) = 1)
+ select (select count(*) from reg join last using (username)
+  where reg.status <> 'blacklisted' and last.error is null and last.is_live) as live_now,
  (select count(*) from reg) as total_candidates"""
     )
     for name, cooldown in (("registry_state", "last"), ("registry_in_steps", "last"), ("registry_state_max", "max")):
@@ -399,15 +412,26 @@ def oracle_sql() -> dict[str, str]:
         inputs.BATTLES, "select * from found",
         opponents=OPPONENTS, creators=duck(inputs.CREATORS), found=finds("creators", "creators"),
     )
+    sql["spider_registry"] = with_input(
+        inputs.BATTLES,
+        """select username, category, coalesce(nullif(archetype, 'general'), named, 'general') as archetype, 'seed' as source,
+ 'candidate' as status, cast(-1 as bigint) as first_seq
+ from creators left join (select opponent as username, arg_min(given, seq) filter (where given <> 'general') as named
+  from told group by 1) t using (username)
+ union all select username, category, archetype, source, 'candidate', seq from found""",
+        opponents=OPPONENTS, creators=duck(inputs.CREATORS), found=finds("creators", "creators"),
+        told="""select opponent, seq, case when category = 'npc' then 'pk_battler' else archetype end as given
+ from opponents join creators h on h.username = host""",
+    )
     columns = "username, category, archetype, source"
     sql["spider_reach"] = with_input(
-        inputs.CHAIN_BATTLES, "select * from r3",
+        inputs.CHAIN_BATTLES, f"select * from r{HOPS}",
         opponents=OPPONENTS,
-        r0=f"select username, category, archetype, 'seed' as source, 0 as hop from ({duck(inputs.CREATORS)}) c where username = 's0'",
+        r0=f"select username, category, archetype, 'seed' as source, 0 as hop from ({duck(inputs.CREATORS)}) c where username in ('s0', 's5')",
         **{
             f"r{i}": f"select * from r{i - 1} union all select {columns}, {i} as hop from ("
             + finds(f"(select * from r{i - 1} where hop = {i - 1})", f"r{i - 1}") + ") f"
-            for i in (1, 2, 3)
+            for i in range(1, HOPS + 1)
         },
     )
     head = ["streamer", "category", "archetype", "event_type", "received_at"]
@@ -432,6 +456,25 @@ def oracle_sql() -> dict[str, str]:
     sql["quarantine"] = with_input(
         inputs.LINES, "select value as raw, reason from p where reason is not null", p=f"select value, {problem} as reason from src"
     )
+    sql["nightly_quarantine"] = sql["quarantine"]
+    nights = "substr(received_at, 1, 10) in ('2024-01-05', '2024-01-06', '2024-01-07')"
+    sql["nightly_run"] = with_bronze(
+        f"""select {TABLE_OF} as item, category, streamer, {parts}, count(*) as n, min({TS}) as first_event from bronze
+ where event_type in ({', '.join(f"'{k}'" for k in KINDS)}) and {nights}
+ and not (event_type = 'gift' and substr(received_at, 1, 10) = '2024-01-06') group by all"""
+    )
+    sql["nightly_dry_run"] = with_bronze(
+        """select '2024-01-05' as date, coalesce(event_type, 'total') as item, count(*) as rows from bronze
+ where substr(received_at, 1, 10) = '2024-01-05' group by rollup (event_type)"""
+    )
+    sql["local_run"] = with_bronze(
+        f"""select {TABLE_OF} as item, streamer, count(*) as n, max({TS}) as last_event from bronze
+ where event_type in ('gift', 'comment', 'like', 'room_users') group by all"""
+    )
+    sql["registry_stream"] = sql["registry_state"]
+    sql["archive_stream"] = with_bronze(
+        f"""select {topic}, {message(head)} as value, {parts}, strftime({TS}, '%H') as hour from bronze where {nights}"""
+    )
     routed = {
         "p": f"select value, {problem} as reason from src",
         "env": """select json_extract_string(value, '$.streamer') as streamer, json_extract_string(value, '$.category') as category,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,16 +23,19 @@ from roomtide.functions.identity import (
 )
 from roomtide.operators import checks, gate, gold, registry, sessions, spider, telemetry
 from roomtide.operators.silver import typed
+from roomtide.plans.local import run_local
+from roomtide.plans.nightly import read_nightly, read_undated_quarantine, run_nightly, run_undated
 from roomtide.plans.retention import retained
 from roomtide.runtime import cut_lineage, shared_folder
-from roomtide.schemas import ENVELOPE, LOCAL_KINDS, TABLES
+from roomtide.schemas import ENVELOPE, LOCAL_KINDS, REGISTRY_EVENTS, TABLES
 from roomtide.sinks.archive import write_archive
-from roomtide.sinks.messages import to_messages
+from roomtide.sinks.messages import append_jsonl, to_messages
 from roomtide.sources.archive import archive_columns, read_all_days
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
-from roomtide.streaming.heartbeat import heartbeat_counts
-from roomtide.streaming.live import read_live, read_quarantine, start_live
+from roomtide.streaming.heartbeat import read_heartbeat, start_heartbeat
+from roomtide.streaming.live import compact_live, read_live, read_quarantine, start_archive, start_live
+from roomtide.streaming.registry import read_latest, start_registry
 
 # The gate runs on days instead of minutes, because the events are sparse.
 GATE_SECONDS = 6 * 3600
@@ -101,8 +105,20 @@ def discoveries(spark, sf_dir):
 
 
 def reach(spark, sf_dir):
-    seeds = spark_input(spark, sf_dir, inputs.CREATORS).where("username = 's0'")
-    return spider.discover_reach(battles(spark, sf_dir, inputs.CHAIN_BATTLES), seeds, max_hops=3)
+    seeds = spark_input(spark, sf_dir, inputs.CREATORS).where("username in ('s0', 's5')")
+    return spider.discover_reach(battles(spark, sf_dir, inputs.CHAIN_BATTLES), seeds)
+
+
+def spider_registry(spark, sf_dir):
+    """The pool as added first, then what the battles tell, folded: known general creators can be upgraded."""
+    creators = spark_input(spark, sf_dir, inputs.CREATORS)
+    added = creators.select(
+        F.lit(-1).cast("bigint").alias("seq"), F.col("username").alias("handle"), F.lit("add").alias("op"),
+        "category", "archetype", F.lit("seed").alias("source"),
+    )
+    told = spider.meeting_events(battles(spark, sf_dir), creators)
+    folded = registry.fold_registry(registry.as_registry_events(added).unionByName(told))
+    return folded.select("username", "category", "archetype", "source", "status", "first_seq")
 
 
 def partitions(spark, sf_dir):
@@ -111,31 +127,23 @@ def partitions(spark, sf_dir):
     return placed.groupBy("topic", "year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("messages"))
 
 
-_written: dict[tuple[str, str, str], str] = {}
-
-
-def written_once(name: str):
-    """Run the job ``build(spark, sf_dir, root)`` once per session and tables; gives its folder."""
+def job(name: str):
+    """``build(spark, sf_dir, root)`` run anew at every call, in a folder of its own; gives the folder."""
     def decorate(build):
         def folder(spark, sf_dir):
-            key = (spark.sparkContext.applicationId, sf_dir, name)
-            if key not in _written:
-                root = scratch(spark, name)
-                build(spark, sf_dir, root)
-                _written[key] = root
-            return _written[key]
+            root = scratch(spark, name)
+            build(spark, sf_dir, root)
+            return root
 
         return folder
 
     return decorate
 
 
-@written_once("archive")
+@job("archive")
 def archive_of(spark, sf_dir, root):
-    """All messages in the hourly archive, each hour written by one of the local tasks."""
-    hour = F.substring(F.get_json_object("value", "$.received_at"), 1, 13)
-    messages = to_messages(bronze(spark, sf_dir))
-    write_archive(messages.repartition(spark.sparkContext.defaultParallelism, "topic", hour), root, batch_id=0)
+    """All messages in the hourly archive."""
+    write_archive(to_messages(bronze(spark, sf_dir)), root, batch_id=0, rebalance=True)
 
 
 def archived_days(spark, sf_dir):
@@ -157,7 +165,7 @@ def archived_gifts(spark, sf_dir):
     return typed(good(parse_envelopes(read_all_days(spark, archive_of(spark, sf_dir)))), "gift")
 
 
-@written_once("live")
+@job("live")
 def live_tables_of(spark, sf_dir, root):
     """The damaged lines through the routing query."""
     spark_input(spark, sf_dir, inputs.LINES).select("value").write.text(f"{root}/in")
@@ -165,19 +173,17 @@ def live_tables_of(spark, sf_dir, root):
     query.awaitTermination()
 
 
-@written_once("heartbeat")
+@job("heartbeat")
 def heartbeat_stream_of(spark, sf_dir, root):
     """All envelopes through the windowed streaming counts."""
     bronze(spark, sf_dir).write.parquet(f"{root}/in")
-    stream = heartbeat_counts(spark.readStream.schema(ENVELOPE).parquet(f"{root}/in"))
-    writer = stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-    query = writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").start()
-    query.awaitTermination()
+    stream = spark.readStream.schema(ENVELOPE).parquet(f"{root}/in")
+    start_heartbeat(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
 
 
 def heartbeat_stream(spark, sf_dir):
-    """The windows that are final once all events are in."""
-    return spark.read.parquet(f"{heartbeat_stream_of(spark, sf_dir)}/out")
+    """All windows, early, late and open ones."""
+    return read_heartbeat(spark, f"{heartbeat_stream_of(spark, sf_dir)}/out")
 
 
 def registry_in_steps(spark, sf_dir):
@@ -188,12 +194,120 @@ def registry_in_steps(spark, sf_dir):
     return registry.fold_registry(log.where(F.col("seq") > middle), first)
 
 
-def streamed(spark, sf_dir) -> str:
-    return f"{live_tables_of(spark, sf_dir)}/out"
+# Three days of the archive; the second one is corrected and run again.
+NIGHTS = ("2024-01-05", "2024-01-06", "2024-01-07")
+
+
+def _days_messages(spark, sf_dir, *days):
+    received = F.substring("received_at", 1, 10)
+    return bronze(spark, sf_dir).where(received.isin(*days))
+
+
+@job("nightly")
+def nightly_of(spark, sf_dir, root):
+    """Three nightly runs, then one more of a day whose gifts have been taken out of the archive."""
+    write_archive(to_messages(_days_messages(spark, sf_dir, *NIGHTS)), f"{root}/lake", batch_id=0)
+    for day in NIGHTS:
+        run_nightly(spark, f"{root}/lake", day, out_root=f"{root}/out")
+    corrected = _days_messages(spark, sf_dir, NIGHTS[1]).where("event_type <> 'gift'")
+    write_archive(to_messages(corrected), f"{root}/corrected", batch_id=0)
+    run_nightly(spark, f"{root}/corrected", NIGHTS[1], out_root=f"{root}/out")
+
+
+def nightly_run(spark, sf_dir):
+    root = f"{nightly_of(spark, sf_dir)}/out"
+    parts = [
+        read_nightly(spark, root, table)
+        .groupBy("year", "month", "day", "category", "streamer")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("event_timestamp").alias("first_event"))
+        .withColumn("item", F.lit(table))
+        for table in TABLES.values()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@job("nightly-dry")
+def dry_lake_of(spark, sf_dir, root):
+    write_archive(to_messages(_days_messages(spark, sf_dir, NIGHTS[0])), root, batch_id=0)
+
+
+def nightly_dry_run(spark, sf_dir):
+    return run_nightly(spark, dry_lake_of(spark, sf_dir), NIGHTS[0], dry_run=True).select("date", "item", "rows")
+
+
+@job("undated")
+def undated_of(spark, sf_dir, root):
+    """All lines, damaged and undated ones included, archived; then the undated job."""
+    lines = spark_input(spark, sf_dir, inputs.LINES).select(F.lit("live.events.mixed").alias("topic"), "value")
+    write_archive(lines, f"{root}/lake", batch_id=0, rebalance=True)
+    run_undated(spark, f"{root}/lake", f"{root}/out")
+
+
+def nightly_quarantine(spark, sf_dir):
+    return read_undated_quarantine(spark, f"{undated_of(spark, sf_dir)}/out")
+
+
+@job("local")
+def local_of(spark, sf_dir, root):
+    append_jsonl(bronze(spark, sf_dir), f"{root}/in")
+    run_local(spark, f"{root}/in", f"{root}/out")
+
+
+def local_run(spark, sf_dir):
+    root = f"{local_of(spark, sf_dir)}/out"
+    parts = [
+        spark.read.parquet(f"{root}/silver_{table}")
+        .groupBy("streamer")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("event_timestamp").alias("last_event"))
+        .withColumn("item", F.lit(table))
+        for table in (TABLES[kind] for kind in LOCAL_KINDS)
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@job("registry-stream")
+def registry_stream_of(spark, sf_dir, root):
+    """The log in three parts, each arriving after the one before has been folded."""
+    log = registry.as_registry_events(registry_log(spark, sf_dir))
+    low, high = log.agg(F.min("seq"), F.max("seq")).first()
+    for part in range(3):
+        share = F.floor((F.col("seq") - low) * 3 / (high - low + 1))
+        log.where(share == part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(REGISTRY_EVENTS).parquet(f"{root}/in")
+        start_registry(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
+
+def registry_stream(spark, sf_dir):
+    return read_latest(spark, f"{registry_stream_of(spark, sf_dir)}/out")
+
+
+@job("archive-stream")
+def archive_stream_of(spark, sf_dir, root):
+    messages = to_messages(_days_messages(spark, sf_dir, *NIGHTS))
+    messages.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(messages.schema).parquet(f"{root}/in")
+    start_archive(stream, f"{root}/out", f"{root}/checkpoint", every=None).awaitTermination()
+
+
+def archive_stream(spark, sf_dir):
+    stored = read_all_days(spark, f"{archive_stream_of(spark, sf_dir)}/out")
+    return stored.select("topic", "value", "year", "month", "day", "hour")
+
+
+@job("compacted")
+def compacted_of(spark, sf_dir, root):
+    """The damaged lines through the routing query in three batches, the first two folded into a base."""
+    lines = spark_input(spark, sf_dir, inputs.LINES)
+    for part in range(3):
+        lines.where(F.col("event_id") % 3 == part).select("value").write.mode("append").text(f"{root}/in")
+        start_live(file_lines(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        if part:
+            for table in TABLES.values():
+                compact_live(spark, f"{root}/out", table, upto=part - 1)
 
 
 def live_routing(spark, sf_dir):
-    root = streamed(spark, sf_dir)
+    root = f"{live_tables_of(spark, sf_dir)}/out"
     counted = [
         read_live(spark, root, table).groupBy("yyyymm").agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(table).alias("item"), "yyyymm", "n")
@@ -207,7 +321,8 @@ def live_routing(spark, sf_dir):
 
 
 def live_whales(spark, sf_dir):
-    return gold.whale_analytics(read_live(spark, streamed(spark, sf_dir), "gifts"))
+    """Over live tables of which two batches are compacted and one is open."""
+    return gold.whale_analytics(read_live(spark, f"{compacted_of(spark, sf_dir)}/out", "gifts"))
 
 
 def room_defaults(spark, sf_dir):
@@ -299,6 +414,7 @@ def queries():
         "battle_opponents": lambda s, d: spider.battle_opponents(battles(s, d)),
         "spider_discoveries": discoveries,
         "spider_reach": reach,
+        "spider_registry": spider_registry,
         "topic_routing": lambda s, d: to_messages(bronze(s, d)),
         "bronze_partitions": partitions,
         "archived_days": archived_days,
@@ -307,6 +423,12 @@ def queries():
         "quarantine": lambda s, d: quarantined(parse_envelopes(spark_input(s, d, inputs.LINES))),
         "live_routing": live_routing,
         "live_stream_whales": live_whales,
+        "nightly_run": nightly_run,
+        "nightly_dry_run": nightly_dry_run,
+        "nightly_quarantine": nightly_quarantine,
+        "local_run": local_run,
+        "registry_stream": registry_stream,
+        "archive_stream": archive_stream,
     }
     for table in TABLES.values():
         named[f"silver_{table}"] = lambda s, d, t=table: silver(s, d, t)

@@ -26,8 +26,16 @@ def to_flag(text: Column) -> Column:
 
 
 def event_time(received_at: Column) -> Column:
-    """The instant of an ISO-8601 text; its offset counts. NULL if it cannot be read."""
-    return received_at.try_cast("timestamp")
+    """The instant of an ISO-8601 text; its offset counts, and without one it is UTC, whatever the session says.
+
+    NULL if it cannot be read or lacks a full date: a bare clock time is not today's.
+    """
+    text = F.trim(received_at)
+    zoned = F.when(text.rlike(r"^\d{4}-\d\d-\d\d$"), F.concat(text, F.lit("T00:00:00Z"))).when(
+        text.rlike(r"^\d{4}-\d\d-\d\d[T ][\d:.]+$"), F.concat(text, F.lit("Z"))
+    )
+    dated = F.when(text.rlike(r"^\d{4}-\d\d-\d\d[T ]"), text)
+    return F.coalesce(zoned, dated).try_cast("timestamp")
 
 
 def live_time(received_at: Column) -> Column:

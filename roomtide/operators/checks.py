@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomtide.operators.joins import join_unique
 from roomtide.operators.registry import CHECK_ERROR_SECONDS, OFFLINE_SECONDS
 
 # Error texts that rule a creator out for good, and the reason recorded.
@@ -50,12 +51,15 @@ def probe_events(checks: DataFrame) -> DataFrame:
 
 
 def live_summary(registry: DataFrame, checks: DataFrame) -> DataFrame:
-    """How many of the registered creators are live; blacklisted ones are not probed."""
-    unwanted = registry.where(F.col("status") == "blacklisted").select("username")
-    outcomes = classify_checks(checks.join(unwanted, "username", "left_anti"))
-    members = registry.select(F.lit(1).alias("member"), F.lit(0).alias("live"))
-    live = outcomes.select(F.lit(0).alias("member"), (F.col("outcome") == "live").cast("int").alias("live"))
-    return members.unionAll(live).agg(
-        F.coalesce(F.sum("live"), F.lit(0)).alias("live_now"),
-        F.coalesce(F.sum("member"), F.lit(0)).alias("total_candidates"),
+    """How many of the registered creators are live; blacklisted ones are not probed.
+
+    A creator counts once, by the latest check (``seq``). The total counts all of the registry.
+    """
+    wanted = registry.select("username", (F.coalesce("status", F.lit("candidate")) != "blacklisted").alias("probed"))
+    latest = checks.groupBy(F.lower("username").alias("username")).agg(
+        F.max_by(F.col("is_live") & F.col("error").isNull(), "seq").alias("live")
+    )
+    live = F.col("probed") & F.coalesce("live", F.lit(False))
+    return join_unique(wanted, latest, "username", ["username"], "left").agg(
+        F.count_if(live).alias("live_now"), F.count(F.lit(1)).alias("total_candidates")
     )

@@ -17,6 +17,7 @@ from roomtide.schemas import REGISTRY, REGISTRY_EVENTS
 # Delays of the registry, in seconds.
 OFFLINE_SECONDS = 180
 CHECK_ERROR_SECONDS = 300
+DEFAULT_REASON = "invalid_user"
 STREAM_END_SECONDS = 15 * 60
 FAILED_PROBATION_SECONDS = 3 * 3600
 QUEUE_LIMIT = 10
@@ -122,6 +123,7 @@ def _prepared(events: DataFrame, fail_seconds: int) -> DataFrame:
             "new_status": status,
             "new_cooldown": F.col("ts") + F.make_dt_interval(secs=seconds),
             "sets_cooldown": op.isin("offline", "stream_end", "probation"),
+            "reason": F.when(op == "invalid", F.coalesce("reason", F.lit(DEFAULT_REASON))).otherwise(F.col("reason")),
         }
     )
     return prepared.where(F.col("handle").isNotNull())

@@ -46,30 +46,41 @@ def _inherited(category: Column, archetype: Column) -> Column:
     return F.when(category == "npc", F.lit(BATTLE_ARCHETYPE)).otherwise(archetype)
 
 
-def _first_finds(pairs: DataFrame, hosts: DataFrame, known: DataFrame) -> DataFrame:
-    """New creators met by ``hosts``, each credited to the host that met it first.
+def _finds(pairs: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(username, first, named): of every creator met by ``hosts``, known or not, the first meeting and the
+    first one that tells more than ``general``; both as (seq, host, category, archetype).
 
-    ``hosts`` and ``known`` have one row per username.
+    ``hosts`` has one row per username. The category and archetype that a meeting gives are the host's.
     """
     finder = hosts.select(F.col("username").alias("host"), "category", "archetype")
-    new = join_unique(
-        pairs.join(known.select(F.col("username").alias("opponent")), "opponent", "left_anti"),
-        finder, "host", ["opponent"],
+    met = join_unique(pairs, finder, "host", ["opponent"]).withColumn(
+        "given", _inherited(F.col("category"), F.coalesce("archetype", F.lit("general")))
     )
-    best = F.min(F.struct("seq", "host", "category", "archetype"))
-    found = new.groupBy(F.col("opponent").alias("username")).agg(best.alias("by"))
+    meeting = F.struct("seq", "host", "category", F.col("given").alias("archetype"))
+    return met.groupBy(F.col("opponent").alias("username")).agg(
+        F.min(meeting).alias("first"), F.min(F.when(F.col("given") != "general", meeting)).alias("named")
+    )
+
+
+def _source(host: Column) -> Column:
+    return F.concat(F.lit("pk_battle_@"), host)
+
+
+def _new(finds: DataFrame, known: DataFrame) -> DataFrame:
+    """Finds that are not in ``known``, with the archetype they end up with: a later, better one counts."""
+    found = finds.join(known.select("username"), "username", "left_anti")
     return found.select(
         "username",
-        F.col("by.category").alias("category"),
-        _inherited(F.col("by.category"), F.col("by.archetype")).alias("archetype"),
-        F.concat(F.lit("pk_battle_@"), F.col("by.host")).alias("source"),
-        F.col("by.seq").alias("seq"),
+        F.col("first.category").alias("category"),
+        F.coalesce("named.archetype", "first.archetype").alias("archetype"),
+        _source(F.col("first.host")).alias("source"),
+        F.col("first.seq").alias("seq"),
     )
 
 
 def discover(battles: DataFrame, registry: DataFrame) -> DataFrame:
     """Creators not yet in ``registry`` that its members met in battle."""
-    return _first_finds(meetings(battles), registry, registry)
+    return _new(_finds(meetings(battles), registry), registry)
 
 
 def discovery_events(found: DataFrame) -> DataFrame:
@@ -78,19 +89,37 @@ def discovery_events(found: DataFrame) -> DataFrame:
     return as_registry_events(added)
 
 
-def discover_reach(battles: DataFrame, registry: DataFrame, max_hops: int = 3) -> DataFrame:
-    """Repeated spidering: discovered creators are captured and spidered in their turn.
+def meeting_events(battles: DataFrame, registry: DataFrame) -> DataFrame:
+    """What battles tell the registry, as ``add`` events: of every creator met, known ones included, the first
+    meeting, and the first that names an archetype. The fold keeps the first add and lets the other one
+    replace ``general``; more adds of the same creator would change nothing."""
+    finds = _finds(meetings(battles), registry)
+    both = F.array_compact(F.array("first", F.when(F.col("named.seq") > F.col("first.seq"), F.col("named"))))
+    rows = finds.select("username", F.explode(both).alias("m"))
+    return discovery_events(
+        rows.select(
+            "username", F.col("m.category").alias("category"), F.col("m.archetype").alias("archetype"),
+            _source(F.col("m.host")).alias("source"), F.col("m.seq").alias("seq"),
+        )
+    )
+
+
+def discover_reach(battles: DataFrame, registry: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """Repeated spidering: discovered creators are captured and spidered in their turn, until no new one is found.
 
-    One join per hop, each hop's finds written to the checkpoint folder, so that lineage stays short
-    and a lost executor costs no earlier hop. Gives (username, hop, category, archetype, source);
-    the registry's own creators have hop 0.
+    Gives (username, hop, category, archetype, source); the registry's own creators have hop 0. A creator's
+    archetype is settled within the hop that finds it, before the creator is spidered. ``max_hops`` ends
+    sooner. Each hop's finds are written to the checkpoint folder, so that lineage stays short and a
+    lost executor costs no earlier hop.
     """
     pairs = cut_lineage(meetings(battles))
     columns = ["username", "category", "archetype", "source"]
     start = registry if "source" in registry.columns else registry.withColumn("source", F.lit("seed"))
     reached = frontier = cut_lineage(start.select(*columns, F.lit(0).alias("hop")))
-    for hop in range(1, max_hops + 1):
-        found = _first_finds(pairs, frontier, reached).select(*columns, F.lit(hop).alias("hop"))
+    hop = 0
+    while max_hops is None or hop < max_hops:
+        hop += 1
+        found = _new(_finds(pairs, frontier), reached).select(*columns, F.lit(hop).alias("hop"))
         frontier = cut_lineage(found)
         if frontier.isEmpty():
             break

@@ -9,6 +9,9 @@ from roomtide.functions.casts import event_time
 from roomtide.schemas import TABLES
 
 EVERY = "5 minutes"
+# The heartbeat's calendar; at five minutes a century is ten million rows, made day by day.
+EARLIEST, LATEST = "2000-01-01T00:00:00Z", "2100-01-01T00:00:00Z"
+DAY = 86_400_000_000
 
 
 def window_counts(timed: DataFrame, every: str = EVERY) -> DataFrame:
@@ -26,49 +29,67 @@ def timed_events(envelope: DataFrame) -> DataFrame:
     return timed.where(F.col("ts").isNotNull() & F.col("event_type").isin(*TABLES))
 
 
-def heartbeat(envelope: DataFrame, every: str = EVERY) -> DataFrame:
+def heartbeat(envelope: DataFrame, every: str = EVERY, earliest: str = EARLIEST, latest: str = LATEST) -> DataFrame:
     """One row per window from the first event to the last, quiet windows included.
 
     Totals run from the first event on, ``eps`` is the total over the time up to the window's end.
-    One scan: events shrink to (window, streamer), then to windows. Only the running sums are global,
-    and they see one row per window: the calendar bounds them (105,120 a year at five minutes),
-    however many events there are.
+    Events before ``earliest`` or from ``latest`` on carry a broken clock and are left out
+    (:func:`implausible`): they would stretch the calendar over centuries.
+
+    One scan: events shrink to (window, streamer), then to windows. Running sums and the quiet windows are made
+    day by day, each day by itself; what goes over all days has one row per day.
     """
-    step = F.expr(f"interval {every}")
-    start = F.window("ts", every).getField("start")
-    per_streamer = timed_events(envelope).groupBy(start.alias("window_start"), "streamer").agg(
-        *_counts(), F.min("ts").alias("first_ts")
+    micros = F.unix_micros(F.lit("1970-01-01T00:00:00Z").cast("timestamp") + F.expr(f"interval {every}"))
+    start = F.unix_micros(F.window("ts", every).getField("start")).alias("at")
+    timed = timed_events(envelope).where(_plausible(earliest, latest))
+    per_streamer = timed.groupBy(start, "streamer").agg(*_counts(), F.min("ts").alias("first_ts"))
+    sums = ("events", *TABLES)
+    per_window = per_streamer.groupBy("at").agg(
+        F.count("streamer").alias("active"), *[F.sum(c).alias(c) for c in sums], F.min("first_ts").alias("first_ts")
+    ).withColumn("day", F.floor(F.col("at") / DAY))
+    per_day = per_window.groupBy("day").agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("first_ts").alias("first_ts"), F.min("at").alias("from"), F.max("at").alias("until")
     )
-    per_window = per_streamer.groupBy("window_start").agg(
-        F.count("streamer").alias("active"),
-        *[F.sum(c).alias(c) for c in ("events", *TABLES)],
-        F.min("first_ts").alias("first_ts"),
+    ends = per_day.agg(
+        F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.min("first_ts").alias("first_ts"),
+        F.min("from").alias("from"), F.max("until").alias("until"),
+    ).where("first_day is not null")
+    days = ends.select(F.explode(F.sequence("first_day", "last_day")).alias("day"), "first_ts", "from", "until")
+    earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.join(per_day.select("day", *sums), "day", "left").select(
+        "day", "first_ts", "from", "until", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in sums]
     )
-    in_order = Window.orderBy("window_start")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    busy = per_window.select(
-        "window_start",
-        "active",
-        F.sum("events").over(so_far).alias("total_events"),
-        *[F.sum(kind).over(so_far).alias(f"{kind}_total") for kind in TABLES],
-        F.min("first_ts").over(so_far).alias("first_ts"),
-        F.lead("window_start").over(in_order).alias("next_start"),
+    opening = F.ceil(F.col("day") * DAY / micros) * micros
+    beats = days.withColumn("at", F.explode(F.when(opening < (F.col("day") + 1) * DAY, F.sequence(opening, (F.col("day") + 1) * DAY - 1, micros))))
+    beats = beats.where(F.col("at").between(F.col("from"), F.col("until"))).join(
+        per_window.drop("first_ts"), ["day", "at"], "left"
     )
-    # A busy window stands for the quiet ones behind it as well.
-    until = F.coalesce(F.col("next_start") - step, F.col("window_start"))
-    beats = busy.withColumn("beat", F.explode(F.sequence("window_start", until, step)))
-    end = F.col("beat") + step
-    uptime = (F.unix_micros(end) - F.unix_micros("first_ts")) / F.lit(1_000_000.0)
+    so_far = Window.partitionBy("day").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def total(column: str) -> Column:
+        return F.col(f"{column}_before") + F.coalesce(F.sum(column).over(so_far), F.lit(0))
+
+    end = F.col("at") + micros
+    uptime = (end - F.unix_micros("first_ts")) / F.lit(1_000_000.0)
     return beats.select(
-        F.col("beat").alias("window_start"),
-        end.alias("window_end"),
-        F.when(F.col("beat") == F.col("window_start"), F.col("active")).otherwise(0).alias("active_streamers"),
-        "total_events",
-        *[f"{kind}_total" for kind in TABLES],
+        F.timestamp_micros("at").alias("window_start"),
+        F.timestamp_micros(end).alias("window_end"),
+        F.coalesce("active", F.lit(0)).alias("active_streamers"),
+        total("events").alias("total_events"),
+        *[total(kind).alias(f"{kind}_total") for kind in TABLES],
         uptime.alias("uptime_seconds"),
     ).withColumn("eps", F.col("total_events") / F.col("uptime_seconds"))
 
 
+def _plausible(earliest: str, latest: str) -> Column:
+    return (F.col("ts") >= F.lit(earliest).cast("timestamp")) & (F.col("ts") < F.lit(latest).cast("timestamp"))
+
+
+def implausible(envelope: DataFrame, earliest: str = EARLIEST, latest: str = LATEST) -> DataFrame:
+    """Events whose readable time lies outside the heartbeat's calendar."""
+    return timed_events(envelope).where(~_plausible(earliest, latest))
+
+
 def breakdown(beats: DataFrame) -> DataFrame:
     """Heartbeat totals in long form, types without events left out."""
     kinds = ", ".join(f"'{k}', {k}_total" for k in TABLES)

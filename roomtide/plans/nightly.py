@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from roomtide.operators.silver import typed
 from roomtide.schemas import ENVELOPE, TABLES
+from roomtide.sinks.folders import delete_folder
 from roomtide.sinks.tables import write_day
-from roomtide.sources.archive import ANY_TOPIC, day_parts, read_day
+from roomtide.sources.archive import ANY_TOPIC, day_parts, read_day, read_undated
 from roomtide.sources.envelopes import MALFORMED, good, parse_envelopes, quarantined, well_formed
 
 SUMMARY = "date string, item string, rows bigint, path string"
@@ -29,20 +30,25 @@ def run_nightly(spark: SparkSession, lake_root: str, date: str, dry_run: bool =
     """Type the archive of ``date`` and replace that day's tables; gives a summary row per table.
 
     The text is parsed once and kept for the counts and the writes; lost blocks are parsed anew. A
-    table without rows is not written, a day without rows does nothing. A dry run writes nothing and
+    table without rows has no folder for the day: one of an earlier run goes. A dry run writes nothing and
     counts all event types instead. Undated and unreadable lines go to a quarantine folder of the day.
     """
+    root = out_root or lake_root
     lines = read_day(spark, lake_root, date, topics)
     if lines is None:
+        if not dry_run:
+            _clear(spark, root, date, [*TABLES.values(), "quarantine"])
         return spark.createDataFrame([], SUMMARY)
     if dry_run:
         return _type_counts(well_formed(parse_envelopes(lines)), date)
-    parsed = parse_envelopes(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    # A line's text is kept only where it goes to the quarantine.
+    parsed = parse_envelopes(lines)
+    parsed = parsed.withColumn("raw", F.when(F.col("problem").isNotNull(), F.col("raw"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = _counts(parsed)
+        _clear(spark, root, date, [name for name in (*TABLES.values(), "quarantine") if not counts[name]])
         if counts["total"] + counts["quarantine"] == 0:
             return spark.createDataFrame([], SUMMARY)
-        root = out_root or lake_root
         summary = [(date, "total", counts["total"], None)]
         envelope = good(parsed)
         for kind, table in TABLES.items():
@@ -60,6 +66,30 @@ def run_nightly(spark: SparkSession, lake_root: str, date: str, dry_run: bool =
         parsed.unpersist()
 
 
+def _clear(spark: SparkSession, root: str, day: str, tables: list[str]) -> None:
+    """Remove what an earlier run has left of the day in tables that have no rows now."""
+    for table in tables:
+        delete_folder(spark, day_folder(root, table, day))
+
+
+def run_undated(spark: SparkSession, lake_root: str, out_root: str | None = None, topics: str = ANY_TOPIC) -> int:
+    """Quarantine the archived messages without a readable time; gives their number.
+
+    They belong to no day, so they have a folder of their own, which every run replaces as a whole.
+    """
+    path = f"{(out_root or lake_root).rstrip('/')}/silver/quarantine_undated"
+    lines = read_undated(spark, lake_root, topics)
+    if lines is None:
+        delete_folder(spark, path)
+        return 0
+    quarantined(parse_envelopes(lines)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).count()
+
+
+def read_undated_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("raw string, reason string").parquet(f"{root.rstrip('/')}/silver/quarantine_undated")
+
+
 def _type_counts(events: DataFrame, day: str) -> DataFrame:
     """The total and the count of each event type, in one aggregation."""
     counted = events.rollup("event_type").agg(

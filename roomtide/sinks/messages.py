@@ -26,15 +26,16 @@ def stamp(events: DataFrame) -> DataFrame:
 
 
 def message_text(columns: tuple[str, ...] = HEAD):
-    """One JSON object, payload nested and byte for byte as it was.
+    """One JSON object on one line, payload nested and as it was, but for line breaks.
 
-    A payload that is not JSON goes in as a JSON string, so that the message stays readable.
+    In valid JSON line breaks stand between tokens only and become spaces. A payload that is not JSON goes in
+    as a JSON string, so that the message stays readable.
     """
     head = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     boxed = F.to_json(F.array("data"))
     quoted = F.substring(boxed, F.lit(2), F.length(boxed) - 2)
     data = F.when(F.col("data").isNull(), "null").when(
-        F.try_parse_json("data").isNotNull(), F.col("data")
+        F.try_parse_json("data").isNotNull(), F.translate("data", "\r\n", "  ")
     ).otherwise(quoted)
     return F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"data":'), data, F.lit("}"))
 

@@ -48,10 +48,14 @@ def write_day(df: DataFrame, path: str) -> None:
 
 
 def write_live(df: DataFrame, table: str, root: str, batch_id: int) -> None:
-    """One micro-batch into a live table: month folders, sorted inside, replaced if replayed."""
+    """One micro-batch into a live table: month folders, sorted inside, replaced if replayed.
+
+    The rebalance gives a month one file, or as many as its size asks for, instead of one from every task.
+    """
     key = LIVE_SORT[table]
     (
         df.withColumns({"yyyymm": yyyymm(F.col("event_timestamp")), "batch_id": F.lit(batch_id)})
+        .hint("rebalance", F.col("yyyymm"))
         .sortWithinPartitions("yyyymm", *key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

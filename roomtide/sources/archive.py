@@ -16,6 +16,23 @@ PARTITIONS = ("topic", "year", "month", "day", "hour")
 ANY_TOPIC = "topic=*"
 
 
+def one_line(value: Column) -> Column:
+    """A message as one line of text. Valid JSON gets spaces for its line breaks; what else has some, or
+    begins as a JSON string does, is stored as a JSON string, which :func:`as_received` undoes."""
+    boxed = F.to_json(F.array(value))
+    quoted = F.substring(boxed, F.lit(2), F.length(boxed) - 2)
+    broken = value.rlike("[\r\n]")
+    odd = value.startswith('"')
+    as_json = F.when(F.try_parse_json(value).isNotNull() & ~odd, F.translate(value, "\r\n", "  "))
+    return F.when(broken | odd, F.coalesce(as_json, quoted)).otherwise(value)
+
+
+def as_received(line: Column) -> Column:
+    """The message of a stored line."""
+    unquoted = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>")
+    return F.when(line.startswith('"'), F.coalesce(F.get(unquoted, F.lit(0)), line)).otherwise(line)
+
+
 def archive_columns(topic: Column, received_at: Column) -> dict[str, Column]:
     return {"topic": topic, **hour_parts(event_time(received_at))}
 
@@ -43,10 +60,22 @@ def read_day(spark: SparkSession, root: str, day: str, topics: str = ANY_TOPIC)
         if problem.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return lines.select("value")
+    return lines.select(as_received(F.col("value")).alias("value"))
+
+
+def read_undated(spark: SparkSession, root: str, topics: str = ANY_TOPIC) -> DataFrame | None:
+    """The archived messages without a readable time, which no day's scan can reach; None if there are none."""
+    try:
+        lines = spark.read.option("recursiveFileLookup", "true").text(f"{root.rstrip('/')}/{topics}/year=__HIVE_DEFAULT_PARTITION__")
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return lines.select(as_received(F.col("value")).alias("value"))
 
 
 def read_all_days(spark: SparkSession, root: str) -> DataFrame:
     """The whole archive with its partition columns as text, for filters that prune folders."""
     schema = "value string, " + ", ".join(f"{p} string" for p in PARTITIONS)
-    return spark.read.schema(schema).text(root).select("value", *[F.col(p) for p in PARTITIONS])
+    stored = spark.read.schema(schema).text(root)
+    return stored.select(as_received(F.col("value")).alias("value"), *[F.col(p) for p in PARTITIONS])

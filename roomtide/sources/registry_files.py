@@ -18,7 +18,8 @@ _RECORD = (
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """A snapshot of the form {"streamers": {username: record}}; the seeds when it is not there.
+    """A snapshot of the form {"streamers": {username: record}}; the seeds when it is not there or not
+    readable, and an empty pool when a readable one has no streamers.
 
     One JSON document is one task by nature; larger registries use :func:`read_registry`. Times that
     cannot be read are NULL, so such a cooldown counts as over.
@@ -26,7 +27,8 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     schema = f"streamers map<string,{_RECORD}>, _corrupt_record string"
     try:
         document = spark.read.option("multiLine", True).schema(schema).json(path)
-        usable = not document.where(F.col("streamers").isNotNull()).isEmpty()
+        # Both columns are asked for, since Spark refuses a query of the corrupt column alone.
+        usable = document.agg(F.count_if(F.col("_corrupt_record").isNull()), F.count("streamers")).first()[0] > 0
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roomtide.operators.silver import typed
-from roomtide.schemas import ENVELOPE, TABLES
+from roomtide.schemas import ENVELOPE, LIVE_SORT, TABLES
 from roomtide.sinks.archive import ROWS_PER_FILE, write_archive
+from roomtide.sinks.folders import child_names, delete_folder
 from roomtide.sinks.tables import write_live
 from roomtide.sources.envelopes import parse_envelopes
 
@@ -47,15 +49,15 @@ def start_live(lines: DataFrame, out_root: str, checkpoint: str, every: str | No
     """Start the routing query on a stream of text lines (``value``).
 
     ``every`` is a processing-time interval; None handles what is there and stops.
-    ``optional_dedup`` is a delay such as "10 minutes": within it, repeated messages are dropped. The
-    source keeps no message id, so equal text is the test, and it is off by default.
+    ``optional_dedup`` is a delay such as "10 minutes": messages repeated within it are dropped. It runs by
+    the time of arrival, so no message is too late for it, whatever time it carries. The source keeps no
+    message id, so equal text is the test, and it is off by default.
     """
     stream = lines.select("value")
     if optional_dedup:
-        received = F.get_json_object("value", "$.received_at").try_cast("timestamp")
         stream = (
-            stream.withColumns({"ts": received, "message": F.sha2("value", 256)})
-            .withWatermark("ts", optional_dedup)
+            stream.withColumns({"arrived": F.current_timestamp(), "message": F.sha2("value", 256)})
+            .withWatermark("arrived", optional_dedup)
             .dropDuplicatesWithinWatermark(["message"])
             .select("value")
         )
@@ -82,12 +84,66 @@ def _start(stream: DataFrame, handle, checkpoint: str, every: str | None) -> Str
     return writer.start()
 
 
+def _base_folder(out_root: str, table: str, upto: int) -> str:
+    return f"{out_root.rstrip('/')}/{table}_base/upto={upto}"
+
+
+def _bases(spark: SparkSession, out_root: str, table: str) -> list[int]:
+    """The last batch of each complete base, newest first."""
+    names = child_names(spark, f"{out_root.rstrip('/')}/{table}_base")
+    found = sorted((int(n.removeprefix("upto=")) for n in names if n.startswith("upto=")), reverse=True)
+    return [n for n in found if "_SUCCESS" in child_names(spark, _base_folder(out_root, table, n))]
+
+
 def read_live(spark: SparkSession, out_root: str, table: str) -> DataFrame:
-    """A live table with its month column; the batch folders do not show."""
+    """A live table with its month column: the newest base and the batches behind it."""
     kind = next(k for k, t in TABLES.items() if t == table)
-    columns = typed(spark.createDataFrame([], ENVELOPE), kind, "live").schema
-    columns = columns.add("yyyymm", "string").add("batch_id", "long")
-    return spark.read.schema(columns).parquet(f"{out_root.rstrip('/')}/{table}").drop("batch_id")
+    columns = typed(spark.createDataFrame([], ENVELOPE), kind, "live").schema.add("yyyymm", "string")
+    path = f"{out_root.rstrip('/')}/{table}"
+    bases = _bases(spark, out_root, table)
+    if bases and not child_names(spark, path):
+        return spark.read.schema(columns).parquet(_base_folder(out_root, table, bases[0]))
+    batches = spark.read.schema(T.StructType([*columns.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    if not bases:
+        return batches.drop("batch_id")
+    newer = batches.where(F.col("batch_id") > bases[0]).drop("batch_id")
+    return spark.read.schema(columns).parquet(_base_folder(out_root, table, bases[0])).unionByName(newer)
+
+
+def compact_live(spark: SparkSession, out_root: str, table: str, upto: int) -> None:
+    """Fold all batches up to ``upto`` into one sorted base; later batches stay as they are.
+
+    ``upto`` must be a batch that the stream has finished. Readers take a base once it is complete, so they see
+    each row once before, during and after; a replay of a folded batch is not seen twice. What only readers of the
+    base before the last can need is deleted: older bases and the batches that the last base had folded.
+    """
+    before = _bases(spark, out_root, table)
+    if before and before[0] >= upto:
+        return
+    path = f"{out_root.rstrip('/')}/{table}"
+    columns = T.StructType([f for f in read_live(spark, out_root, table).schema.fields])
+    batches = spark.read.schema(columns.add("batch_id", "long")).parquet(path)
+    batches = batches.where(F.col("batch_id") <= upto)
+    rows = batches
+    if before:
+        rows = batches.where(F.col("batch_id") > before[0])
+    rows = rows.drop("batch_id")
+    if before:
+        base = spark.read.schema(rows.schema).parquet(_base_folder(out_root, table, before[0]))
+        rows = base.unionByName(rows)
+    (
+        rows.hint("rebalance", F.col("yyyymm"), F.col("streamer"))
+        .sortWithinPartitions("yyyymm", *LIVE_SORT[table])
+        .write.mode("overwrite").option("compression", "zstd").partitionBy("yyyymm")
+        .parquet(_base_folder(out_root, table, upto))
+    )
+    for old in before[1:]:
+        delete_folder(spark, _base_folder(out_root, table, old))
+    if before:
+        for month in child_names(spark, path):
+            for batch in child_names(spark, f"{path}/{month}"):
+                if batch.startswith("batch_id=") and int(batch.removeprefix("batch_id=")) <= before[0]:
+                    delete_folder(spark, f"{path}/{month}/{batch}")
 
 
 def read_quarantine(spark: SparkSession, out_root: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roomtide.operators.registry import as_registry_events, fold_registry
 from roomtide.schemas import REGISTRY
-from roomtide.sinks.folders import delete_folder
+from roomtide.sinks.folders import child_names, delete_folder
 
 KEPT_VERSIONS = 10
 
@@ -20,6 +20,13 @@ def read_version(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return spark.read.schema(REGISTRY).parquet(_version(root, batch_id))
 
 
+def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest complete version; None before the first batch."""
+    found = [int(n.removeprefix("version=")) for n in child_names(spark, root) if n.startswith("version=")]
+    complete = [n for n in sorted(found, reverse=True) if "_SUCCESS" in child_names(spark, _version(root, n))]
+    return read_version(spark, root, complete[0]) if complete else None
+
+
 def advance(events: DataFrame, batch_id: int, root: str, cooldown: str = "last",
             keep: int = KEPT_VERSIONS) -> None:
     """Write version ``batch_id`` of the registry from the version before it and new events.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contract.inputs import bronze
 from roomtide.operators.silver import typed
 from roomtide.plans.local import local_tables, run_local
-from roomtide.plans.nightly import read_nightly, run_nightly
+from roomtide.plans.nightly import read_nightly, read_undated_quarantine, run_nightly, run_undated
 from roomtide.plans.retention import drop_expired, expired_months, retained
 from roomtide.sinks.archive import write_archive
 from roomtide.sinks.messages import append_jsonl, to_messages
@@ -178,3 +178,37 @@ def test_retention(spark, tmp_path, envelope):
 def test_a_month_expires_as_a_whole():
     assert expired_months(["202301", "202302"], datetime(2024, 2, 28)) == ["202301"]
     assert expired_months(["202301", "202302"], datetime(2024, 3, 1)) == ["202301", "202302"]
+
+
+def test_a_rerun_replaces_the_whole_day(spark, tmp_path, envelope):
+    out = str(tmp_path / "out")
+    like, gift = event("like", "{}"), event("gift", "{}")
+    for lake, rows_, bad in (("a", [like, gift], True), ("b", [like], False)):
+        messages = to_messages(envelope(*rows_))
+        if bad:
+            messages = messages.unionByName(messages.limit(1).withColumn("value", F.lit('{"received_at":"2024-01-01T01:00:00Z","x":')))
+        write_archive(messages, str(tmp_path / lake), 0)
+        run_nightly(spark, str(tmp_path / lake), "2024-01-01", out_root=out)
+    folders = {p.name for p in Path(out, "silver").glob("*") if list(p.glob("year=*/month=*/day=*"))}
+    assert folders == {"likes"}
+    run_nightly(spark, str(tmp_path / "none"), "2024-01-01", out_root=out)
+    assert not list(Path(out, "silver").glob("*/year=*/month=*/day=*"))
+
+
+def test_messages_with_line_breaks_come_back(spark, tmp_path):
+    pretty = '{\n "streamer": "s",\r\n "category": "npc", "event_type": "like",\n "received_at": "2024-01-01T00:00:00Z", "data": {"batch_count":\n 4}}'
+    odd = ['"quoted"', 'broken\n{"a":', '"open\r', '{"received_at":"2024-01-01T00:00:00Z"', "plain \\n text"]
+    values = spark.createDataFrame([("t", v) for v in (pretty, *odd)], "topic string, value string")
+    root = str(tmp_path / "a")
+    write_archive(values, root, 0)
+    got = {r.value for r in read_all_days(spark, root).collect()}
+    assert got == {pretty.replace("\n", " ").replace("\r", " "), *odd}
+    run_nightly(spark, root, "2024-01-01", topics="topic=t")
+    assert read_nightly(spark, root, "likes").first().batch_count == 4
+    assert run_undated(spark, root) == 4
+    assert {r.raw for r in read_undated_quarantine(spark, root).collect()} == {o for o in odd if "received_at" not in o}
+
+
+def test_payloads_with_line_breaks_stay_one_message(spark, tmp_path, envelope):
+    append_jsonl(envelope(event("like", '{"batch_count":\n 3}')), str(tmp_path / "in"))
+    assert run_local(spark, str(tmp_path / "in"))["silver_likes"].first().batch_count == 3

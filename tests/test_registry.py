@@ -151,5 +151,19 @@ def test_checks(spark):
     log = as_registry_events(check_events(checks))
     assert {r.handle for r in log.collect()} == set("bcdef")
     assert {r.handle for r in probe_events(checks).collect()} == set("cef")
-    pool = spark.createDataFrame([("a", "candidate"), ("b", "blacklisted")], "username string, status string")
-    assert live_summary(pool, checks).first().asDict() == {"live_now": 1, "total_candidates": 2}
+    pool = spark.createDataFrame([("a", "candidate"), ("b", "blacklisted"), ("z", "cooldown"), ("q", None)], "username string, status string")
+    probes = spark.createDataFrame(
+        [(1, "a", False, None), (2, "A", True, None), (1, "b", True, None), (1, "stranger", True, None),
+         (1, "z", True, None), (2, "z", True, "timeout"), (1, "q", None, None)],
+        "seq long, username string, is_live boolean, error string",
+    )
+    assert live_summary(pool, probes).first().asDict() == {"live_now": 1, "total_candidates": 4}
+    assert live_summary(pool, probes.limit(0)).first().asDict() == {"live_now": 0, "total_candidates": 4}
+
+
+def test_an_invalid_event_without_reason_has_the_usual_one(spark):
+    log = [
+        (1, START, "a", "add", "npc", "general", "x", None, None, None, None, None),
+        (2, START, "a", "invalid", None, None, None, None, None, None, None, None),
+    ]
+    assert as_dicts(fold_registry(frame(spark, log)))["a"]["blacklist_reason"] == "invalid_user"

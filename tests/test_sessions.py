@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roomtide.operators.gate import probation_events, qualify
 from roomtide.operators.joins import events_within
 from roomtide.operators.sessions import carry_like_total, derive_sessions, session_summary, session_top
-from roomtide.operators.telemetry import breakdown, heartbeat
+from roomtide.operators.telemetry import breakdown, heartbeat, implausible
 
 START = datetime(2024, 1, 1)
 
@@ -189,3 +189,20 @@ def test_heartbeat(envelope):
     assert [r.uptime_seconds for r in beats] == [290.0, 590.0, 890.0]
     assert beats[0].eps == 2 / 290
     assert {(r.event_type, r.total) for r in breakdown(heartbeat(env)).collect()} == {("gift", 1), ("gift", 2), ("comment", 1)}
+
+
+def test_heartbeat_is_not_stretched_by_broken_clocks(envelope):
+    days = ["2024-01-01T00:00:10Z", "2024-01-03T12:00:00Z", "1970-01-01T00:00:00Z", "0001-01-01T00:00:00Z", "9999-01-01T00:00:00Z"]
+    env = envelope(*[event("gift", "{}", at=at) for at in days])
+    beats = heartbeat(env).orderBy("window_start").collect()
+    assert len(beats) == 2 * 288 + 145 and [beats[0].total_events, beats[-2].total_events, beats[-1].total_events] == [1, 1, 2]
+    assert implausible(env).count() == 3
+    assert heartbeat(env.limit(0)).count() == 0
+
+
+def test_heartbeat_windows_need_not_divide_a_day(envelope):
+    env = envelope(*[event("gift", "{}", at=f"2024-01-0{d}T05:00:00Z") for d in (1, 2, 3)])
+    for every, seconds in (("7 minutes", 420), ("2 days", 172_800)):
+        beats = [(b.window_start.timestamp(), b.total_events) for b in heartbeat(env, every).orderBy("window_start").collect()]
+        assert {round(b - a) for (a, _), (b, _) in zip(beats, beats[1:])} <= {seconds}
+        assert all(a % seconds == 0 for a, _ in beats) and beats[-1][1] == 3

@@ -4,6 +4,7 @@ import pytest
 from conftest import event, plan_of
 from pyspark.sql import functions as F
 
+from roomtide.functions.casts import event_time
 from roomtide.functions.casts import to_bigint, to_flag
 from roomtide.operators.silver import typed
 
@@ -127,3 +128,19 @@ def test_stored_columns_are_pruned_and_type_reaches_the_scan(spark, envelope, tm
     plan = plan_of(typed(spark.read.parquet(path), "room_users").select("viewer_count"))
     assert "EqualTo(event_type,room_users)" in plan
     assert "ReadSchema: struct<event_type:string,data:string>" in plan
+
+
+def test_times_need_a_full_date_and_do_not_hang_on_the_session(spark):
+    texts = ["12:30:00", "T01", "2024", "2024-01", "2024-01-05", "2024-01-05T06:07:08", "2024-01-05 06:07:08.5",
+             "2024-01-05T06:07:08Z", "2024-01-05T06:07:08+02:00", "2024-01-05T06:07:08.25-0330", " 2024-01-05T06:07:08Z ", "soon", "", None]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(F.unix_micros(event_time(F.col("t")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    day = 1704412800
+    at = day + 6 * 3600 + 7 * 60 + 8
+    seconds = [None if g is None else g / 1e6 for g in got]
+    assert seconds[:9] == [None, None, None, None, day, at, at + 0.5, at, at - 7200]
+    assert seconds[9] in (None, at + 0.25 + 3.5 * 3600) and seconds[10:] == [at, None, None, None]

@@ -141,3 +141,10 @@ def test_registry_files(spark, tmp_path):
     assert snapshot_info(registry).first().total_streamers == 1
     record = json.loads(snapshot_records(registry).first().record)
     assert record["stats"]["total_sessions"] == 0 and record["cooldown_until"] is None
+
+
+def test_a_snapshot_without_streamers_is_an_empty_pool(spark, tmp_path):
+    for text, count in (('{"version": 2}', 0), ('{"streamers": {}}', 0), ('{"streamers": ', len(SEEDS))):
+        path = tmp_path / f"s{len(text)}.json"
+        path.write_text(text)
+        assert read_snapshot(spark, str(path)).count() == count

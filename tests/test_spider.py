@@ -3,7 +3,7 @@ import random
 import pytest
 
 from roomtide.operators.registry import fold_registry
-from roomtide.operators.spider import battle_opponents, discover, discover_reach, discovery_events
+from roomtide.operators.spider import battle_opponents, discover, discover_reach, discovery_events, meeting_events
 from roomtide.schemas import BATTLES
 
 POOL = "username string, category string, archetype string"
@@ -75,6 +75,25 @@ def test_reach_against_a_plain_walk(battles, pool):
     for hop in range(1, 20):
         frontier = {o for h in frontier for o in neighbours.get(h, ()) if o not in hops}
         hops.update(dict.fromkeys(frontier, hop))
-    for limit in (1, 2, 20):
+    assert max(hops.values()) > 2
+    for limit in (1, 2, None):
         got = discover_reach(battles(*rows), pool(("c0", "npc", "general")), max_hops=limit)
-        assert {r.username: r.hop for r in got.collect()} == {u: h for u, h in hops.items() if h <= limit}
+        assert {r.username: r.hop for r in got.collect()} == {u: h for u, h in hops.items() if limit is None or h <= limit}
+
+
+def test_reach_ends_only_when_nobody_new_is_met(battles, pool):
+    got = discover_reach(battles(*[(i, f"c{i}", [f"c{i + 1}"], None) for i in range(7)]), pool(("c0", "npc", "general")))
+    assert {r.username: r.hop for r in got.collect()} == {f"c{i}": i for i in range(8)}
+
+
+def test_archetypes_are_upgraded(battles, pool):
+    creators = pool(("shop", "ecommerce", "general"), ("n", "npc", "general"), ("old", "ecommerce", "general"), ("set", "npc", "dance"))
+    fights = battles((1, "shop", ["peer"], None), (2, "n", ["peer", "old", "set"], None))
+    (found,) = discover(fights, creators).collect()
+    assert (found.username, found.category, found.archetype, found.source) == ("peer", "ecommerce", "pk_battler", "pk_battle_@shop")
+    added = discovery_events(creators.selectExpr("*", "'seed' as source", "-1L as seq"))
+    state = fold_registry(added.unionByName(meeting_events(fights, creators)))
+    assert {r.username: (r.category, r.archetype, r.source) for r in state.collect()} == {
+        "shop": ("ecommerce", "general", "seed"), "n": ("npc", "general", "seed"), "set": ("npc", "dance", "seed"),
+        "old": ("ecommerce", "pk_battler", "seed"), "peer": ("ecommerce", "pk_battler", "pk_battle_@shop"),
+    }

@@ -15,9 +15,9 @@ from roomtide.sinks.messages import to_messages
 from roomtide.sources.archive import read_all_days
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
-from roomtide.streaming.heartbeat import heartbeat_counts
-from roomtide.streaming.live import read_live, read_quarantine, route_batch, start_archive, start_live
-from roomtide.streaming.registry import advance, read_version, start_registry
+from roomtide.streaming.heartbeat import count_batch, read_heartbeat, start_heartbeat
+from roomtide.streaming.live import compact_live, read_live, read_quarantine, route_batch, start_archive, start_live
+from roomtide.streaming.registry import advance, read_latest, read_version, start_registry
 
 
 def rows(df):
@@ -92,21 +92,31 @@ def test_archive_stream(spark, tmp_path, envelope):
     assert rows(read_all_days(spark, root).select("topic", "value")) == rows(messages)
 
 
-def test_heartbeat_stream_gives_final_windows(spark, tmp_path):
+def test_heartbeat_stream_counts_every_event(spark, tmp_path):
     env = bronze(spark, SF_DIR)
-    source = str(tmp_path / "in")
-    env.write.parquet(source)
-    stream = heartbeat_counts(spark.readStream.schema(ENVELOPE).parquet(source))
-    query = (
-        stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "c")).outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    # Two batches in the wrong order: the second one is older than all of the first.
+    late = env.where("received_at < '2024-01-10'")
+    for part in (env.exceptAll(late), late):
+        part.coalesce(1).write.mode("append").parquet(source)
+        start_heartbeat(spark.readStream.schema(ENVELOPE).parquet(source), root, str(tmp_path / "c")).awaitTermination()
     expected = window_counts(timed_events(env)).select(F.col("window.start").alias("window_start"), "events", *TABLES)
-    last = expected.agg(F.max("window_start")).first()[0]
-    late = F.lit(last) - F.expr("interval 15 minutes")
-    assert rows(got.where(F.col("window_start") < late)) == rows(expected.where(F.col("window_start") < late)) != []
+    assert rows(read_heartbeat(spark, root)) == rows(expected) != []
+
+
+def test_replayed_heartbeat_batch_changes_nothing(spark, tmp_path, envelope):
+    root = str(tmp_path / "out")
+    for batch in (0, 0, 1):
+        count_batch(envelope(event("like", "{}")), batch, root)
+    assert [r.events for r in read_heartbeat(spark, root).collect()] == [2]
+
+
+def test_late_messages_are_no_duplicates(spark, tmp_path, envelope):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for at in ("2024-01-05T00:00:00Z", "2024-01-01T00:00:00Z", "2024-01-05T00:00:00Z", "soon"):
+        to_messages(envelope(event("like", "{}", at=at))).select("value").coalesce(1).write.mode("append").text(source)
+        start_live(file_lines(spark, source), out, f"{out}-c", optional_dedup="10 minutes").awaitTermination()
+    assert read_live(spark, out, "likes").count() == 2 and read_quarantine(spark, out).count() == 1
 
 
 @pytest.mark.parametrize("cooldown", ["last", "max"])
@@ -137,3 +147,33 @@ def test_registry_query(spark, tmp_path):
     stream = spark.readStream.schema(REGISTRY_EVENTS).parquet(source)
     start_registry(stream, str(tmp_path / "r"), str(tmp_path / "c")).awaitTermination()
     assert rows(read_version(spark, str(tmp_path / "r"), 0)) == rows(fold_registry(log))
+
+
+def test_compaction_loses_and_doubles_nothing(spark, tmp_path, envelope):
+    out = str(tmp_path / "out")
+    batches = [
+        to_messages(envelope(*[event("like", f'{{"batch_count":{b}}}', streamer=f"s{k}", at=f"2024-0{1 + k % 2}-01T00:00:00Z") for k in range(4)]))
+        for b in range(9)
+    ]
+    for b, messages in enumerate(batches):
+        route_batch(messages.select("value"), b, out)
+        if b % 3 == 2:
+            before = rows(read_live(spark, out, "likes"))
+            compact_live(spark, out, "likes", upto=b - 1)
+            assert rows(read_live(spark, out, "likes")) == before and len(before) == 4 * (b + 1)
+    # A replay of a folded batch is not seen twice, and compacting again changes nothing.
+    route_batch(batches[7].select("value"), 7, out)
+    compact_live(spark, out, "likes", upto=7)
+    assert read_live(spark, out, "likes").count() == 36
+    files = [f for folder in ("likes", "likes_base") for f in (tmp_path / "out" / folder).rglob("*.parquet")]
+    assert sorted(os.listdir(f"{out}/likes_base")) == ["upto=4", "upto=7"] and len(files) <= 14
+
+
+def test_the_latest_complete_version_is_read(spark, tmp_path):
+    log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts"))
+    root = str(tmp_path / "registry")
+    assert read_latest(spark, root) is None
+    for batch in range(3):
+        advance(log.where(F.col("seq") % 3 == batch), batch, root)
+    os.remove(f"{root}/version=2/_SUCCESS")
+    assert rows(read_latest(spark, root)) == rows(read_version(spark, root, 1))
