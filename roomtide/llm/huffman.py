@@ -20,6 +20,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -27,41 +28,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from roomtide.llm.bpe import byte_alphabet
 from roomtide.llm.support import Memo, column_rows, scratch, ship, stored
 
 LONGEST_CODE = 20
 BLOCK_IDS = 1024
 SEGMENT_IDS = 1 << 18
-REMEMBERED_PIECES = 400_000
+REMEMBERED_WORDS = 600_000
 
-# A text may be cut before each white space that the vocabulary's pattern begins a word or a run with; these
-# are the pattern's white-space rules with all else in one piece.
-_W = "\t-\r \x85\xa0  -     　"
-PIECE = re.compile(f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+# The vocabulary's pattern, with its classes written out for texts of Latin letters.
+SPACES = "\t-\r \x85\xa0"
+LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_END = "\u0250"
+WORD = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
+    f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+)
 
 
-class PieceEncoder:
-    """The library's encoder, with the ids of frequent pieces of text remembered."""
+class WordEncoder:
+    """The library's encoder, with the ids of frequent words remembered.
+
+    The vocabulary never merges across the words of its pattern, so the words' ids are the text's. Texts with
+    characters beyond the Latin ones or with special tokens are left to the library whole.
+    """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         added = self.library.get_added_tokens_decoder()
         self.special = [token.content for token in added.values()]
-        self.pieces = Memo(self._piece, REMEMBERED_PIECES)
+        self.alphabet = byte_alphabet()
+        self.words = Memo(self._word, REMEMBERED_WORDS)
         self.size = self.library.get_vocab_size()
 
-    def _piece(self, piece: str) -> bytes:
-        return np.array(self.library.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+    def _word(self, word: str) -> bytes:
+        shown = "".join([self.alphabet[b] for b in word.encode()])
+        ids = [token.id for token in self.model.tokenize(shown)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self._piece(text)
-        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text)))
+        if (text.isascii() or max(text) < LATIN_END) and not any(s in text for s in self.special):
+            return b"".join(map(self.words.__getitem__, WORD.findall(text)))
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
-def piece_encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST_CODE) -> np.ndarray:
@@ -159,7 +174,7 @@ def unpack_ids(bits: bytes, checkpoints: np.ndarray, count: int, table: np.ndarr
 
 def _id_table(docs: DataFrame, path: str, end: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = piece_encoder(path)
+        encoder = word_encoder(path)
         kind = "<u2" if encoder.size <= 1 << 16 else "<u4"
         tail = np.array([end], kind).tobytes()
         for ids, texts in column_rows(batches, "doc_id", "text"):
