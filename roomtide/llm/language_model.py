@@ -4,8 +4,9 @@
    it needs: its distinct words with their training counts, and its distinct bigrams with theirs. The
    same rows count and ask, so no word is shuffled more often than once for each chunk.
 2. A shard adds up the counts of its words, and builds a trie of its bigrams (``elias_fano``), each with its discounted
-   probability (c(v, w) - D) / c(v) in one byte. It answers each chunk from the trie. A context's successors are
-   spread over eight shards, so that a frequent word is no hot shard.
+   probability (c(v, w) - D) / c(v) in one byte. It answers each chunk from the trie. A context's successors are in
+   one shard; those of a word that makes up more than an eighth of a shard's mean load are spread over eight, of which
+   a chunk then asks all. There are fewer such words than eight times the shards, found by counts over all chunks.
 3. Each chunk puts the answers together: P(w | v) = trie + D * N1(v) / c(v) * P1(w), where N1(v) is the number of
    distinct successors and P1(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)); after an unknown v it is P1(w).
 
@@ -33,7 +34,8 @@ from roomtide.llm.elias_fano import NgramTrie, dequantised
 from roomtide.llm.support import column_rows, ship, stored
 
 CHUNK_TOKENS = 1 << 21
-SPREAD = 8
+SPREAD = 8  # parts of a common context's successors, by the top three bits of their hash
+STRIDE = np.uint64(0x9E3779B1)
 DISCOUNT = 0.75
 FOLDS, HELD_OUT = 5, 1
 START, END = np.uint64(1), np.uint64(2)
@@ -42,14 +44,14 @@ LEVEL = 1
 
 def _packed(array: np.ndarray) -> bytes:
     """Compressed by byte planes: the high bytes of counts and places are mostly zero."""
-    raw = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), -1).T
+    raw = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.itemsize).T
     return zstandard.compress(np.ascontiguousarray(raw).tobytes(), LEVEL)
 
 
 def _unpacked(blob: bytes, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
     raw = np.frombuffer(zstandard.decompress(blob, max_output_size=1 << 31), np.uint8)
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).reshape(-1)
+    return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).view(kind).reshape(-1)
 
 
 def token_hashes(text: str | None) -> np.ndarray:
@@ -69,9 +71,8 @@ class Chunk:
         ends = np.cumsum(sizes)
         contexts = np.empty(len(places), np.int64)
         contexts[1:] = places[:-1]
-        contexts[ends[:-1]] = np.searchsorted(vocabulary, START)
-        if len(contexts):
-            contexts[0] = np.searchsorted(vocabulary, START)
+        contexts[np.r_[0, ends[:-1]]] = np.searchsorted(vocabulary, START)
+        self.context_uses = np.bincount(contexts, minlength=len(vocabulary))
         pairs, self.pair_of = np.unique(contexts * len(vocabulary) + places, return_inverse=True)
         self.first, self.second = pairs // max(1, len(vocabulary)), pairs % max(1, len(vocabulary))
 
@@ -87,10 +88,23 @@ class Chunk:
     def word_shards(self, shards: int) -> np.ndarray:
         return (self.vocabulary % np.uint64(shards)).astype(np.int64)
 
-    def pair_shards(self, shards: int) -> np.ndarray:
-        """A bigram's shard: by its context, and by one of eight parts of its successors."""
-        part = self.vocabulary[self.second] >> np.uint64(32 + 32 - 3) & np.uint64(SPREAD - 1)
-        return ((self.vocabulary[self.first] + part * np.uint64(0x9E3779B1)) % np.uint64(shards)).astype(np.int64)
+    def deal(self, shards: int, common: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each shard: places of its contexts, how many successors each has here, and places of the bigrams.
+
+        A common context is listed in all its shards, with or without successors there.
+        """
+        spread = np.isin(self.vocabulary, common)
+        part = (self.vocabulary >> np.uint64(61))[self.second] * spread[self.first]
+        shard = ((self.vocabulary[self.first] + part * STRIDE) % np.uint64(shards)).astype(np.int64)
+        every = np.flatnonzero(spread & (self.context_uses > 0))
+        homes = [(self.vocabulary[every] + np.uint64(p) * STRIDE) % np.uint64(shards) for p in range(SPREAD)]
+        dealt = []
+        for number, pairs in enumerate(_grouped(shard, shards)):
+            first = self.first[pairs]
+            here = every[np.any([h == number for h in homes], axis=0)] if len(every) else every
+            contexts = np.union1d(first, here).astype(np.int64)
+            dealt.append((contexts, np.diff(np.searchsorted(first, np.r_[contexts, len(self.vocabulary)])), pairs))
+        return dealt
 
 
 def _grouped(shard: np.ndarray, shards: int) -> list[np.ndarray]:
@@ -99,22 +113,27 @@ def _grouped(shard: np.ndarray, shards: int) -> list[np.ndarray]:
     return np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
 
 
-_CHUNKS = "chunk long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, vocabulary binary, places binary"
+_CHUNKS = "chunk long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, vocabulary binary, places binary, common array<long>, uses array<long>"
 _ASKED = "shard int, chunk long, words binary, word_counts binary, contexts binary, context_counts binary, successors binary, marks binary, counts binary"
 
 
-def _chunk_table(docs: DataFrame) -> DataFrame:
+def _chunk_table(docs: DataFrame, shards: int, chunk_tokens: int) -> DataFrame:
+    """Chunks, with the contexts that are common in them: at most 2 * SPREAD * shards each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        ids, held, learned, hashes, tokens = [], [], [], [], 0
+        ids, held, hashes, tokens = [], [], [], 0
 
         def close():
             chunk = Chunk.of(hashes)
+            common = np.flatnonzero(chunk.context_uses * SPREAD * shards >= len(chunk.places))
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
                  pa.array([chunk.sizes.tolist()], pa.list_(pa.int64())),
-                 pa.array([_packed(chunk.vocabulary)], pa.binary()), pa.array([_packed(chunk.places.astype(np.uint32))], pa.binary())],
-                ["chunk", "doc_ids", "held_out", "sizes", "vocabulary", "places"],
+                 pa.array([_packed(chunk.vocabulary)], pa.binary()), pa.array([_packed(chunk.places.astype(np.uint32))], pa.binary()),
+                 pa.array([chunk.vocabulary[common].view(np.int64).tolist()], pa.list_(pa.int64())),
+                 pa.array([chunk.context_uses[common].tolist()], pa.list_(pa.int64()))],
+                ["chunk", "doc_ids", "held_out", "sizes", "vocabulary", "places", "common", "uses"],
             )
 
         for rows in column_rows(batches, "doc_id", "text", "held_out"):
@@ -123,7 +142,7 @@ def _chunk_table(docs: DataFrame) -> DataFrame:
                 held.append(out)
                 hashes.append(token_hashes(text))
                 tokens += len(hashes[-1])
-                if tokens >= CHUNK_TOKENS:
+                if tokens >= chunk_tokens:
                     yield close()
                     number += 1
                     ids, held, hashes, tokens = [], [], [], 0
@@ -140,7 +159,18 @@ def _load(batch: pa.RecordBatch, row: int) -> tuple[Chunk, list, list]:
     return chunk, value("doc_ids"), value("held_out")
 
 
-def _asked(chunks: DataFrame, shards: int) -> DataFrame:
+def _common(chunks: DataFrame, shards: int) -> np.ndarray:
+    """Hashes of the contexts with 1 / (SPREAD * shards) of all uses or more: that bounds how many there are.
+
+    Such a context has that share of some chunk at least, so each chunk names its own common ones only.
+    """
+    total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0] or 0
+    named = chunks.select(F.explode(F.arrays_zip("common", "uses")).alias("c")).groupBy(F.col("c.common").alias("hash"))
+    rows = named.agg(F.sum("c.uses").alias("uses")).filter(F.col("uses") * SPREAD * shards >= total).collect()
+    return np.sort(np.array([r.hash for r in rows], np.int64).view(np.uint64))
+
+
+def _asked(chunks: DataFrame, shards: int, common: np.ndarray) -> DataFrame:
     """What each chunk brings to and asks of each shard. A null fold is not learned from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,17 +183,15 @@ def _asked(chunks: DataFrame, shards: int) -> DataFrame:
                 context_counts = np.bincount(chunk.first, pair_counts, len(chunk.vocabulary)).astype(np.uint32)
                 marks = chunk.marks()
                 by_word = _grouped(chunk.word_shards(shards), shards)
-                by_pair = _grouped(chunk.pair_shards(shards), shards)
+                dealt = chunk.deal(shards, common)
                 columns = [[] for _ in range(9)]
                 number = batch.column(0)[row].as_py()
                 for shard in range(shards):
-                    words, pairs = by_word[shard], by_pair[shard]
-                    first = chunk.first[pairs]
-                    starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(first) else np.zeros(0, np.int64)
+                    words, (contexts, successors, pairs) = by_word[shard], dealt[shard]
                     made = (
                         shard, number, _packed(chunk.vocabulary[words]), _packed(word_counts[words]),
-                        _packed(chunk.vocabulary[first[starts]]), _packed(context_counts[first[starts]]),
-                        _packed(np.diff(np.r_[starts, len(pairs)]).astype(np.uint32)), _packed(marks[chunk.second[pairs]]),
+                        _packed(chunk.vocabulary[contexts]), _packed(context_counts[contexts]),
+                        _packed(successors.astype(np.uint32)), _packed(marks[chunk.second[pairs]]),
                         _packed(pair_counts[pairs]),
                     )
                     for column, value in zip(columns, made):
@@ -213,7 +241,7 @@ def _answer(discount: float):
     return run
 
 
-def _scored(shards: int, discount: float, train_tokens: int, train_words: int):
+def _scored(shards: int, common: np.ndarray, discount: float, train_tokens: int, train_words: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found = {name: [] for name in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
         answers = {s: r for r, s in enumerate(right["shard"].to_pylist())}
@@ -223,15 +251,13 @@ def _scored(shards: int, discount: float, train_tokens: int, train_words: int):
                 totals = np.zeros(len(chunk.vocabulary))
                 codes = np.zeros(len(chunk.first), np.uint8)
                 distinct = np.zeros(len(chunk.vocabulary))
-                by_word, by_pair = _grouped(chunk.word_shards(shards), shards), _grouped(chunk.pair_shards(shards), shards)
+                by_word, dealt = _grouped(chunk.word_shards(shards), shards), chunk.deal(shards, common)
                 for shard in range(shards):
                     answer = answers[shard]
                     totals[by_word[shard]] = _unpacked(right["totals"][answer].as_py(), "<u8")
-                    codes[by_pair[shard]] = _unpacked(right["codes"][answer].as_py(), "u1")
-                    first = chunk.first[by_pair[shard]]
-                    if len(first):
-                        starts = first[np.r_[True, first[1:] != first[:-1]]]
-                        distinct[starts] += _unpacked(right["distinct"][answer].as_py(), "<u4")
+                    contexts, _, pairs = dealt[shard]
+                    codes[pairs] = _unpacked(right["codes"][answer].as_py(), "u1")
+                    distinct[contexts] += _unpacked(right["distinct"][answer].as_py(), "<u4")
                 base = (totals + 0.5) / (train_tokens + 0.5 * (train_words + 1))
                 # As contexts, words count as often as they are followed: all of them are. The start is followed once a text.
                 followed = totals.copy()
@@ -251,26 +277,28 @@ def _scored(shards: int, discount: float, train_tokens: int, train_words: int):
     return run
 
 
-def score_corpus(docs: DataFrame, discount: float = DISCOUNT, shards: int | None = None) -> DataFrame:
+def score_corpus(docs: DataFrame, discount: float = DISCOUNT, shards: int | None = None,
+                 chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
     ship(spark)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     chunks = stored(
-        _chunk_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold == HELD_OUT).alias("held_out"))),
+        _chunk_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold == HELD_OUT).alias("held_out")), shards, chunk_tokens),
         "chunks",
     )
+    common = _common(chunks, shards)
     answers = stored(
-        _asked(chunks, shards).groupBy("shard").applyInArrow(
+        _asked(chunks, shards, common).groupBy("shard").applyInArrow(
             _answer(discount), "shard int, chunk long, totals binary, codes binary, distinct binary, tokens long, words long"
         ),
         "answers",
     )
     sums = answers.groupBy("shard").agg(F.first("tokens").alias("tokens"), F.first("words").alias("words"))
     train = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("v")).first()
-    scored = chunks.groupBy("chunk").cogroup(answers.select("shard", "chunk", "totals", "codes", "distinct").groupBy("chunk")).applyInArrow(
-        _scored(shards, discount, train.n, train.v),
+    scored = chunks.drop("common", "uses").groupBy("chunk").cogroup(answers.select("shard", "chunk", "totals", "codes", "distinct").groupBy("chunk")).applyInArrow(
+        _scored(shards, common, discount, train.n, train.v),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train.n).cast("long").alias("train_tokens"), "base_score", "score")
