@@ -240,8 +240,8 @@ def votes(pages: DataFrame) -> DataFrame:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): a host's most voted paths in order, at most eight."""
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.length("path"), "path")
+    """(host, paths): a host's most voted paths in order, of equal ones the most specific; at most eight."""
+    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc(F.length("path")), "path")
     ranked = votes(pages).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= MOST_PATHS)
     listed = F.array_sort(F.collect_list(F.struct("rank", "path")))
     return ranked.groupBy("host").agg(F.transform(listed, lambda p: p["path"]).alias("paths"))
