@@ -160,6 +160,18 @@ select event_id as seq, ts, concat('h', cast(user_id as string)) as username, ev
 from {T:events}
 """
 
+# Texts that are hard to read as number, flag or time.
+CAST_EDGES = """
+select event_id,
+ case event_id % 8 when 0 then '5.7' when 1 then '1e3' when 2 then '' when 3 then '-5.5' when 4 then 'abc'
+  when 5 then ' 12 ' when 6 then null else cast(event_id as string) end as number_text,
+ case event_id % 7 when 0 then 'yes' when 1 then 'on' when 2 then 'TRUE' when 3 then '0' when 4 then ''
+  when 5 then null else 'n' end as flag_text,
+ case event_id % 6 when 0 then '2024-01-05T06:07:08+02:00' when 1 then '12:30:00' when 2 then '2024'
+  when 3 then '2024-01-05' when 4 then '2024-01-05T06:07:08.5' else 'soon' end as time_text
+from {T:events}
+"""
+
 # Message lines, some cut short and some with an unreadable time.
 LINES = """
 with m as (select event_id, concat('{"streamer":"', streamer, '","category":"', category, '","event_type":"', event_type,

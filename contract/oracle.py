@@ -335,6 +335,12 @@ def oracle_sql() -> dict[str, str]:
  coalesce(total_room_likes, 0) as total_room_likes, coalesce(viewer_count, 0) as viewer_count,
  coalesce(popularity, 0) as popularity, pop_product is not null as pin from src""",
     )
+    # The expected values, by the same remainders.
+    sql["cast_edges"] = """select event_id,
+ case event_id % 8 when 0 then 6 when 1 then 1000 when 3 then -6 when 5 then 12 when 7 then event_id end as number,
+ case event_id % 7 when 0 then true when 2 then true when 3 then false when 6 then false end as flag,
+ case event_id % 6 when 0 then timestamp '2024-01-05 04:07:08' when 3 then timestamp '2024-01-05 00:00:00'
+  when 4 then timestamp '2024-01-05 06:07:08.5' end as at_time from events"""
     sql["handle_normalize"] = with_input(
         inputs.RAW_HANDLES,
         """select c_custkey, lower(ltrim(trim(handle), '@')) as username from src

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from contract import inputs
 from contract.inputs import battles, bronze, spark_input, zoned
-from roomtide.functions.casts import event_time
+from roomtide.functions.casts import event_time, to_bigint, to_flag
 from roomtide.functions.identity import (
     comment_text,
     normalize_handle,
@@ -325,6 +325,14 @@ def live_whales(spark, sf_dir):
     return gold.whale_analytics(read_live(spark, f"{compacted_of(spark, sf_dir)}/out", "gifts"))
 
 
+def cast_edges(spark, sf_dir):
+    raw = spark_input(spark, sf_dir, inputs.CAST_EDGES)
+    return raw.select(
+        "event_id", to_bigint(F.col("number_text")).alias("number"), to_flag(F.col("flag_text")).alias("flag"),
+        event_time(F.col("time_text")).alias("at_time"),
+    )
+
+
 def room_defaults(spark, sf_dir):
     raw = spark_input(spark, sf_dir, inputs.RAW_ROOM)
     shown = shown_pins(raw).select("event_id", F.lit(True).alias("pin"))
@@ -393,6 +401,7 @@ def queries():
         "user_identity": user_identity,
         "gift_defaults": gift_defaults,
         "room_defaults": room_defaults,
+        "cast_edges": cast_edges,
         "handle_normalize": handles,
         "like_carry_forward": carried_likes,
         "session_summary": lambda s, d: sessions.session_summary(bronze(s, d)),
