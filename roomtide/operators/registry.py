@@ -18,6 +18,7 @@ from roomtide.schemas import REGISTRY, REGISTRY_EVENTS
 OFFLINE_SECONDS = 180
 CHECK_ERROR_SECONDS = 300
 DEFAULT_REASON = "invalid_user"
+STATUSES = ("blacklisted", "qualified", "cooldown")
 STREAM_END_SECONDS = 15 * 60
 FAILED_PROBATION_SECONDS = 3 * 3600
 QUEUE_LIMIT = 10
@@ -130,37 +131,56 @@ def _prepared(events: DataFrame, fail_seconds: int) -> DataFrame:
 
 
 def _change_per_creator(counted: DataFrame, cooldown: str) -> DataFrame:
+    """One row per creator. The log itself is aggregated in numbers and times only, which hash; the texts are
+    fetched from the few events that decide them."""
     seq, op = F.col("seq"), F.col("op")
-    is_add, is_probation = op == "add", op == "probation"
+    is_add, is_probation, is_invalid = op == "add", op == "probation", op == "invalid"
 
-    def first(value: str, when: Column) -> Column:
-        return F.min_by(F.col(value), F.when(when, seq))
-
-    def latest(value: str, when: Column) -> Column:
-        return F.max_by(F.col(value), F.when(when, seq))
+    def latest(value: Column, when: Column) -> Column:
+        return F.max_by(value, F.when(when, seq))
 
     named = is_add & (F.col("archetype") != "general")
     if cooldown == "last":
-        until = latest("new_cooldown", F.col("sets_cooldown"))
+        until = latest(F.col("new_cooldown"), F.col("sets_cooldown"))
     else:
         standing = F.col("last_pass").isNull() | (seq > F.col("last_pass"))
         until = F.max(F.when(F.col("sets_cooldown") & standing, F.col("new_cooldown")))
-    return counted.groupBy("handle").agg(
+    codes = F.array(*[F.lit(status) for status in STATUSES])
+    code = F.array_position(codes, F.col("new_status")).cast("int")
+    change = counted.groupBy("handle").agg(
         F.min(F.when(is_add, seq)).alias("first_seq"),
-        first("category", is_add).alias("category"),
-        first("source", is_add).alias("source"),
-        first("ts", is_add).alias("discovered_at"),
-        first("archetype", named).alias("archetype"),
-        latest("new_status", F.col("new_status").isNotNull()).alias("status"),
+        F.min(F.when(named, seq)).alias("named_seq"),
+        F.max(F.when(is_invalid, seq)).alias("invalid_seq"),
+        F.min_by(F.col("ts"), F.when(is_add, seq)).alias("discovered_at"),
+        latest(code, F.col("new_status").isNotNull()).alias("status_code"),
         until.alias("cooldown_until"),
         F.bool_or("sets_cooldown").alias("sets_cooldown"),
         F.bool_or(is_probation & F.col("passed")).alias("passes"),
-        latest("reason", op == "invalid").alias("blacklist_reason"),
         F.count_if(is_probation).alias("total_sessions"),
         F.coalesce(F.max(F.when(is_probation, F.col("viewers"))), F.lit(0)).alias("peak_viewers"),
         F.coalesce(F.sum(F.when(is_probation, F.col("diamonds"))), F.lit(0)).alias("total_diamonds_seen"),
-        latest("ts", is_probation).alias("last_live"),
-        latest("ts", op == "offline").alias("last_checked"),
+        latest(F.col("ts"), is_probation).alias("last_live"),
+        latest(F.col("ts"), op == "offline").alias("last_checked"),
+    )
+    deciding = change.select(
+        "handle", F.explode(F.array_compact(F.array_distinct(F.array("first_seq", "named_seq", "invalid_seq")))).alias("seq")
+    )
+    # At most three events of a creator, found by (handle, seq); a hot creator is no hot key here.
+    texts = counted.join(deciding, ["handle", "seq"]).groupBy("handle").agg(
+        F.collect_list(F.struct("seq", "op", "category", "source", "archetype", "reason")).alias("texts")
+    )
+
+    def text(field: str, kind: str, at: str) -> Column:
+        rows = F.filter("texts", lambda t: (t["op"] == kind) & (t["seq"] == F.col(at)))
+        return F.get(rows, F.lit(0))[field]
+
+    return change.join(texts, "handle", "left").select(
+        *[c for c in change.columns if c not in ("named_seq", "invalid_seq", "status_code")],
+        F.get(codes, F.col("status_code") - 1).alias("status"),
+        text("category", "add", "first_seq").alias("category"),
+        text("source", "add", "first_seq").alias("source"),
+        text("archetype", "add", "named_seq").alias("archetype"),
+        text("reason", "invalid", "invalid_seq").alias("blacklist_reason"),
     )
 
 

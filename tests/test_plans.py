@@ -28,7 +28,9 @@ def test_the_named_checkpoint_folder_is_used(spark):
     assert folder in spark.sparkContext.getCheckpointDir()
 
 
-@pytest.mark.parametrize("name", ["session_summary", "probation_gate", "heartbeat_rollup", "event_overview"])
+@pytest.mark.parametrize("name", [
+    "session_summary", "probation_gate", "heartbeat_rollup", "event_overview", "registry_state", "registry_state_max",
+])
 def test_event_aggregates_hash(name, spark):
     assert "SortAggregate" not in plan_of(contract.queries()[name](spark, SF_DIR))
 
