@@ -4,7 +4,7 @@
    weight handed up for each level; containers that are menus, headers, footers, asides, forms, adverts, notices or
    comments by tag, role, class or id score nothing, and nor does what they hold.
 2. A page votes for the path of its best container: tags with classes and ids from the body down, digits
-   generalised. Votes are counted for each host in Spark.
+   generalised; an article or main element around it stands for it. Votes are counted for each host in Spark.
 3. Every page is read again by the most voted path of its host that it has; a page that has none of them is read by
    its own best container.
 
@@ -47,6 +47,8 @@ OUTSIDE = frozenset(
     "comment comments commentlist disqus respond reply replies discussion form search searchform toolbar pagination pager "
     "contentinfo skip hidden".split()
 )
+# A class such as has-sidebar tells of a layout and not of the element.
+MODIFIERS = frozenset(["has", "with", "no", "without"])
 HEADER = frozenset(["header", "masthead"])
 ARTICLE = frozenset(["article", "post", "entry", "story"])
 INSIDE = frozenset("article main content body post entry story text page".split())
@@ -71,6 +73,11 @@ def _words(names: str) -> frozenset[str]:
     return frozenset(w.lower() for w in WORDS.findall(names))
 
 
+@lru_cache(maxsize=4096)
+def _names_outside(names: str) -> bool:
+    return any(w & OUTSIDE and not w & MODIFIERS for w in map(_words, names.split()))
+
+
 @lru_cache(maxsize=4096)
 def _step(tag: str, names: str) -> str:
     """A path's step: tag, classes and id, digits generalised."""
@@ -90,8 +97,9 @@ class Node:
 class Page(HTMLParser):
     """A page's text blocks in order, each under its innermost container."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, by_name: bool = True):
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
         root = Node("", "", None, False, 0.0, False, False)
         self.stack, self.nodes, self.blocks = [root], [root], []
         self.pieces, self.linked, self.in_link, self.skipped = [], 0, 0, 0
@@ -139,7 +147,7 @@ class Page(HTMLParser):
             return True
         for name, value in attrs:
             value = value or ""
-            if name in ("class", "id", "role") and _words(value) & OUTSIDE:
+            if self.by_name and name in ("class", "id", "role") and _names_outside(value):
                 # A headline's or an article's own class may carry such a word; a container's decides.
                 return tag not in HEADINGS and tag not in ("main",) and not (tag == "article" and not _words(value) & {"comment", "comments", "reply", "related", "ad", "ads", "advert", "sponsored", "promo", "widget"})
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -200,6 +208,13 @@ class Page(HTMLParser):
         for node in self.nodes:
             if node.score > 0 and (top is None or node.score * max(node.hint, 1.0) > top.score * max(top.hint, 1.0)):
                 top = node
+        # A container within an article is a part of it: a headline may stand beside it.
+        for tag in ("article", "main"):
+            node = top
+            while node is not None:
+                if node.tag == tag:
+                    return node.path
+                node = node.parent
         return None if top is None else top.path
 
     def text_under(self, path: str) -> str:
@@ -218,6 +233,15 @@ class Page(HTMLParser):
         return {n.path for n in self.nodes if not n.outside}
 
 
+def read_page(html: str) -> Page:
+    """The page; where names would rule out all of a page that has an article, they count for nothing."""
+    page = Page(html)
+    nothing = not any(page._counts(node) for node, _, _ in page.blocks)
+    if nothing and re.search("<(article|main)[ >]", html, re.IGNORECASE):
+        return Page(html, by_name=False)
+    return page
+
+
 def _host(url: str | None) -> str:
     found = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", url or "")
     return found[1].rpartition("@")[2].lower() if found else ""
@@ -228,7 +252,7 @@ def votes(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for urls, htmls in column_rows(batches, "url", "html"):
-            cast = [(_host(u), Page(h).best_path()) for u, h in zip(urls, htmls) if h]
+            cast = [(_host(u), read_page(h).best_path()) for u, h in zip(urls, htmls) if h]
             cast = [c for c in cast if c[1] is not None]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[0] for c in cast], pa.string()), pa.array([c[1] for c in cast], pa.string())], ["host", "path"]
@@ -259,7 +283,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for ids, urls, htmls, chosen in column_rows(batches, "page_id", "url", "html", "paths"):
             texts = []
             for html, paths in zip(htmls, chosen):
-                page = Page(html) if html else None
+                page = read_page(html) if html else None
                 if page is None:
                     texts.append("")
                     continue

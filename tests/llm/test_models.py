@@ -167,6 +167,25 @@ def test_extraction(spark):
     assert extraction.extract(pages.limit(0).select("page_id", "url", "html")).count() == 0
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<div class='layout has-sidebar'><main><p>Words of the main part, long enough.</p></main></div>", "Words of the main part, long enough."),
+    ("<div id='sidebar-page'><article><p>Words of an article, long enough.</p></article></div>", "Words of an article, long enough."),
+    ("<nav>menu</nav><div class='ads'>Buy things</div><footer>end</footer>", ""),
+    ("<main><h1>T</h1><div class='body'>text <i>in</i> a<br/>container that is long enough</div><div id='respond'>Your reply</div></main>",
+     "T\ntext in a container that is long enough"),
+    ("<body><p>One &#233;&nbsp;&lt;tag&gt; word and some more words</p><textarea>typed</textarea><noscript>no</noscript></body>",
+     "One é <tag> word and some more words"),
+    ("<article><p>First long paragraph of the text here.</p><span class='share-buttons'>Share</span><p>Second <!-- no --> one.</p>"
+     "<section class='reader-comments'><p>I say this.</p></section></article>", "First long paragraph of the text here.\nSecond one."),
+    ("<table><tr><td>Layout cell with many words in it, and more</td><td><ul class='menu'><li>x</li></ul></td></tr></table>",
+     "Layout cell with many words in it, and more"),
+])
+def test_pages(html, text):
+    page = extraction.read_page(html)
+    path = page.best_path()
+    assert (page.text_under(path) if path is not None else "") == text
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose comments outweigh its article is read by its host's path."""
     page = "<body><div class='story'><p>{}</p></div><div class='x{}'><p>{}</p></div></body>"
