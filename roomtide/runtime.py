@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # of checkpoints that nothing refers to any more
     "spark.ui.enabled": "false",
 }
 
