@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 from collections.abc import Callable
 
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 
 from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, sharding, toxicity
 
-TOKENIZERS = os.environ.get("ROOMTIDE_TOKENIZERS", "/opt/tokenizers")
-
-
 def vocabulary(name: str) -> str:
-    return f"{TOKENIZERS}/{name}"
+    """A vocabulary file: in the folder ROOMTIDE_TOKENIZERS names, else where ``public_tokenizers`` has it."""
+    folder = os.environ.get("ROOMTIDE_TOKENIZERS")
+    if folder:
+        return f"{folder}/{name}"
+    found = importlib.util.find_spec("public_tokenizers")
+    return f"{os.path.dirname(found.origin) if found else '/opt/tokenizers'}/{name}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,8 +4,8 @@ Features of a text, each counted once: its lower-cased words, the words' beginni
 (which stand for inflected forms), pairs of neighbours, and pairs with one or two words between them. Every
 coordinate has its own learning rate, and L1 keeps most weights at exactly zero, so a model is a short list.
 
-Training reads at most ``max_examples`` labelled texts, those of the lowest hash of doc_id: one task holds
-their features. Nothing else is sampled; every text is scored whole.
+Training reads at most ``max_examples`` labelled texts, those of the lowest hash of doc_id, and of these as many as
+have ``MOST_FEATURES`` features together: one task holds them. Nothing else is sampled; every text is scored whole.
 
 Defined cases: null and empty texts have no features and get the score of the bias; a doc_id with several
 labels counts as toxic if one of them says so; null labels and null doc_ids are not learned from; without any label
@@ -31,6 +31,7 @@ SIZE = 1 << BITS
 STEMS = (4, 5, 6)
 REMEMBERED_WORDS = 300_000
 HELD_OUT_FOLDS = 5
+MOST_FEATURES = 60_000_000  # of four bytes each
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,10 +85,13 @@ def train(labelled: DataFrame, epochs: int = 4, **rates: float) -> list[tuple[in
     """Non-zero weights from rows (doc_id, text, toxic), at most 2^20 and a bias; a bounded input, one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        rows, held = [], 0
         for ids, texts, labels in column_rows(batches, "doc_id", "text", "toxic"):
             for doc_id, text, label in zip(ids, texts, labels):
+                if held > MOST_FEATURES:
+                    break
                 at = np.append(np.unique(features(text)), SIZE).astype(np.int32)
+                held += len(at)
                 rows.append((xxhash.xxh3_64_intdigest(str(doc_id)), at, label))
         rows.sort(key=lambda r: (r[0], len(r[1]), r[2]))
         model = Ftrl(**rates)
