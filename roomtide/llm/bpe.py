@@ -35,8 +35,8 @@ SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 CONTROL = re.compile("[\x1c-\x1f]")
 # Below this code point, composed letters need no normalization.
 PLAIN_LATIN = "\u0250"
-REMEMBERED_CHUNKS = 250_000
-REMEMBERED_WORDS = 500_000
+REMEMBERED_CHUNKS = 120_000
+REMEMBERED_WORDS = 250_000
 PLACES = 1 << 24
 
 

@@ -12,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roomtide.runtime import shared_folder
 
+ROWS_PER_BATCH = 1000
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, as ``--py-files`` would."""
+    """Give the executors this package, once per application, as ``--py-files`` would.
+
+    Also keeps Arrow batches at 1000 rows: whole texts in Spark's default of 10,000 rows would take hundreds of MB on
+    either side of each Python worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -70,8 +76,8 @@ class Memo(dict):
 
 
 def column_rows(batches: Iterator, *names: str) -> Iterator[tuple]:
-    """The named columns of Arrow batches as Python lists, a few thousand rows at a time."""
+    """The named columns of Arrow batches as Python lists, a few hundred rows at a time."""
     for batch in batches:
-        for start in range(0, batch.num_rows, 2048):
-            part = batch.slice(start, 2048)
+        for start in range(0, batch.num_rows, 512):
+            part = batch.slice(start, 512)
             yield tuple(part.column(part.schema.get_field_index(name)).to_pylist() for name in names)

@@ -29,9 +29,9 @@ WORD = re.compile(r"\w+")
 BITS = 20
 SIZE = 1 << BITS
 STEMS = (4, 5, 6)
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 100_000
 HELD_OUT_FOLDS = 5
-MOST_FEATURES = 60_000_000  # of four bytes each
+MOST_FEATURES = 40_000_000  # of four bytes each
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
