@@ -481,6 +481,15 @@ def oracle_sql() -> dict[str, str]:
     sql["archive_stream"] = with_bronze(
         f"""select {topic}, {message(head)} as value, {parts}, strftime({TS}, '%H') as hour from bronze where {nights}"""
     )
+    # The same over every day that the messages have.
+    sql["archive_stream_all"] = with_bronze(
+        f"select {topic}, {message(head)} as value, {parts}, strftime({TS}, '%H') as hour from bronze"
+    )
+    sql["nightly_every_day"] = with_bronze(
+        f"""select {TABLE_OF} as item, category, streamer, {parts}, count(*) as n, min({TS}) as first_event from bronze
+ where event_type in ({', '.join(f"'{k}'" for k in KINDS)})
+ and not (event_type = 'gift' and substr(received_at, 1, 10) = '2024-01-06') group by all"""
+    )
     routed = {
         "p": f"select value, {problem} as reason from src",
         "env": """select json_extract_string(value, '$.streamer') as streamer, json_extract_string(value, '$.category') as category,

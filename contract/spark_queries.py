@@ -198,24 +198,36 @@ def registry_in_steps(spark, sf_dir):
 NIGHTS = ("2024-01-05", "2024-01-06", "2024-01-07")
 
 
-def _days_messages(spark, sf_dir, *days):
-    received = F.substring("received_at", 1, 10)
-    return bronze(spark, sf_dir).where(received.isin(*days))
+def _every_day(spark, sf_dir):
+    """The days that the messages have, in order."""
+    day = F.substring("received_at", 1, 10).alias("day")
+    return [r.day for r in bronze(spark, sf_dir).select(day).distinct().orderBy("day").collect()]
+
+
+def _run_nights(spark, sf_dir, root, days):
+    """A nightly run for each of ``days`` out of the archive of all messages, then one more of a day whose gifts have
+    been taken out of the archive."""
+    every = bronze(spark, sf_dir)
+    write_archive(to_messages(every), f"{root}/lake", batch_id=0, rebalance=True)
+    for day in days:
+        run_nightly(spark, f"{root}/lake", day, out_root=f"{root}/out")
+    taken_out = (F.substring("received_at", 1, 10) == NIGHTS[1]) & (F.col("event_type") == "gift")
+    corrected = every.where(~F.coalesce(taken_out, F.lit(False)))
+    write_archive(to_messages(corrected), f"{root}/corrected", batch_id=0, rebalance=True)
+    run_nightly(spark, f"{root}/corrected", NIGHTS[1], out_root=f"{root}/out")
 
 
 @job("nightly")
 def nightly_of(spark, sf_dir, root):
-    """Three nightly runs, then one more of a day whose gifts have been taken out of the archive."""
-    write_archive(to_messages(_days_messages(spark, sf_dir, *NIGHTS)), f"{root}/lake", batch_id=0)
-    for day in NIGHTS:
-        run_nightly(spark, f"{root}/lake", day, out_root=f"{root}/out")
-    corrected = _days_messages(spark, sf_dir, NIGHTS[1]).where("event_type <> 'gift'")
-    write_archive(to_messages(corrected), f"{root}/corrected", batch_id=0)
-    run_nightly(spark, f"{root}/corrected", NIGHTS[1], out_root=f"{root}/out")
+    _run_nights(spark, sf_dir, root, NIGHTS)
 
 
-def nightly_run(spark, sf_dir):
-    root = f"{nightly_of(spark, sf_dir)}/out"
+@job("nightly-all")
+def every_night_of(spark, sf_dir, root):
+    _run_nights(spark, sf_dir, root, _every_day(spark, sf_dir))
+
+
+def _nightly_rows(spark, root):
     parts = [
         read_nightly(spark, root, table)
         .groupBy("year", "month", "day", "category", "streamer")
@@ -226,13 +238,18 @@ def nightly_run(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-@job("nightly-dry")
-def dry_lake_of(spark, sf_dir, root):
-    write_archive(to_messages(_days_messages(spark, sf_dir, NIGHTS[0])), root, batch_id=0)
+def nightly_run(spark, sf_dir):
+    """Three single days out of the whole archive; ``nightly_every_day`` runs all that the data have."""
+    return _nightly_rows(spark, f"{nightly_of(spark, sf_dir)}/out")
+
+
+def nightly_every_day(spark, sf_dir):
+    return _nightly_rows(spark, f"{every_night_of(spark, sf_dir)}/out")
 
 
 def nightly_dry_run(spark, sf_dir):
-    return run_nightly(spark, dry_lake_of(spark, sf_dir), NIGHTS[0], dry_run=True).select("date", "item", "rows")
+    """One day out of the archive of all messages."""
+    return run_nightly(spark, archive_of(spark, sf_dir), NIGHTS[0], dry_run=True).select("date", "item", "rows")
 
 
 @job("undated")
@@ -283,17 +300,23 @@ def registry_stream(spark, sf_dir):
 
 @job("archive-stream")
 def archive_stream_of(spark, sf_dir, root):
-    messages = to_messages(_days_messages(spark, sf_dir, *NIGHTS))
+    """All messages through the streaming archive."""
+    messages = to_messages(bronze(spark, sf_dir))
     messages.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(messages.schema).parquet(f"{root}/in")
     start_archive(stream, f"{root}/out", f"{root}/checkpoint", every=None).awaitTermination()
 
 
-def archive_stream(spark, sf_dir):
+def archive_stream_all(spark, sf_dir):
     stored = read_all_days(spark, f"{archive_stream_of(spark, sf_dir)}/out")
     return stored.select("topic", "value", "year", "month", "day", "hour")
 
 
+def archive_stream(spark, sf_dir):
+    """Three days read out of the archive of all messages; ``archive_stream_all`` gives the whole of it."""
+    return archive_stream_all(spark, sf_dir).where(F.concat_ws("-", "year", "month", "day").isin(*NIGHTS))
+
+
 @job("compacted")
 def compacted_of(spark, sf_dir, root):
     """The damaged lines through the routing query in three batches, the first two folded into a base."""
@@ -433,11 +456,13 @@ def queries():
         "live_routing": live_routing,
         "live_stream_whales": live_whales,
         "nightly_run": nightly_run,
+        "nightly_every_day": nightly_every_day,
         "nightly_dry_run": nightly_dry_run,
         "nightly_quarantine": nightly_quarantine,
         "local_run": local_run,
         "registry_stream": registry_stream,
         "archive_stream": archive_stream,
+        "archive_stream_all": archive_stream_all,
     }
     for table in TABLES.values():
         named[f"silver_{table}"] = lambda s, d, t=table: silver(s, d, t)

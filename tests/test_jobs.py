@@ -5,6 +5,7 @@ import pytest
 from conftest import SF_DIR, event, plan_of
 from pyspark.sql import functions as F
 
+from contract import spark_queries
 from contract.inputs import bronze
 from roomtide.operators.silver import typed
 from roomtide.plans.local import local_tables, run_local
@@ -212,3 +213,17 @@ def test_messages_with_line_breaks_come_back(spark, tmp_path):
 def test_payloads_with_line_breaks_stay_one_message(spark, tmp_path, envelope):
     append_jsonl(envelope(event("like", '{"batch_count":\n 3}')), str(tmp_path / "in"))
     assert run_local(spark, str(tmp_path / "in"))["silver_likes"].first().batch_count == 3
+
+
+def test_the_registered_jobs_archive_every_message_and_run_every_day(spark, monkeypatch):
+    archived, ran = [], []
+    monkeypatch.setattr(spark_queries, "write_archive", lambda messages, root, **more: archived.append(messages))
+    monkeypatch.setattr(spark_queries, "run_nightly", lambda s, lake, day, **more: ran.append(day) or s.range(0).selectExpr("'' as date", "'' as item", "0 as rows"))
+    everything = rows(to_messages(bronze(spark, SF_DIR)))
+    spark_queries.nightly_of(spark, SF_DIR)
+    spark_queries.nightly_dry_run(spark, SF_DIR)
+    assert rows(archived[0]) == rows(archived[2]) == everything
+    assert len(archived) == 3 and 0 < archived[1].count() < len(everything)
+    ran.clear()
+    spark_queries.every_night_of(spark, SF_DIR)
+    assert ran == [f"2024-01-{k:02}" for k in range(1, 31)] + [DAY.replace("05", "06")]
