@@ -5,8 +5,8 @@
    comments by tag, role, class or id score nothing, and nor does what they hold.
 2. A page votes for the path of its best container: tags with classes and ids from the body down, digits
    generalised; an article or main element around it stands for it. Votes are counted for each host in Spark.
-3. Every page is read again by the most voted path of its host that it has; a page that has none of them is read by
-   its own best container.
+3. Every page is read again by the most voted path of its host that it has, however many its host has; a page whose
+   path has no text there is read by its own best container.
 
 Text: blocks in page order joined by one line feed; white space within a block is one space; character
 references are decoded; a line-break tag counts as white space. Nothing else is dropped.
@@ -23,8 +23,10 @@ from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomtide.llm.support import column_rows, ship, stored
@@ -64,8 +66,7 @@ CLOSED_BY = {
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 HANDED_UP = 0.5
-MOST_PATHS = 8
-BROADCAST_HOSTS = 100_000  # at most MOST_PATHS paths each; beyond it a shuffled join
+BROADCAST_VOTES = 1_000_000  # 16 bytes each in every Python worker; beyond it a shuffled join
 
 
 @lru_cache(maxsize=4096)
@@ -264,31 +265,82 @@ def votes(pages: DataFrame) -> DataFrame:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): a host's most voted paths in order, of equal ones the most specific; at most eight."""
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc(F.length("path")), "path")
-    ranked = votes(pages).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= MOST_PATHS)
-    listed = F.array_sort(F.collect_list(F.struct("rank", "path")))
-    return ranked.groupBy("host").agg(F.transform(listed, lambda p: p["path"]).alias("paths"))
+    """(host, paths): all voted paths of a host, the most voted first, of equal ones the most specific."""
+    order = F.struct((-F.col("votes")).alias("votes"), (-F.length("path")).alias("length"), "path")
+    listed = F.array_sort(F.collect_list(order))
+    return votes(pages).groupBy("host").agg(F.transform(listed, lambda p: p["path"]).alias("paths"))
+
+
+def _mark(host: str, path: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{host}\n{path}")
+
+
+def _by_marks(counted: DataFrame):
+    """A function (host, paths) -> the best voted of these paths or None, from all votes as two sorted arrays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hosts, paths, given in column_rows(batches, "host", "path", "votes"):
+            marks = np.array([_mark(h, p) for h, p in zip(hosts, paths)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(marks), pa.array(given, pa.int64())], ["mark", "votes"])
+
+    table = counted.mapInArrow(run, "mark long, votes long").toArrow()
+    marks = table["mark"].to_numpy().view(np.uint64)
+    order = np.argsort(marks)
+    held = counted.sparkSession.sparkContext.broadcast((marks[order], table["votes"].to_numpy()[order]))
+
+    def choose(host: str, paths: set[str]) -> str | None:
+        marks, given = held.value
+        there = list(paths)
+        if not len(marks) or not there:
+            return None
+        wanted = np.array([_mark(host, p) for p in there], np.uint64)
+        at = np.minimum(np.searchsorted(marks, wanted), len(marks) - 1)
+        voted = [(-int(given[k]), -len(p), p) for k, p, known in zip(at, there, marks[at] == wanted) if known]
+        return min(voted)[2] if voted else None
+
+    return choose
+
+
+def _by_join(pages: DataFrame, counted: DataFrame) -> DataFrame:
+    """(host, key, path) of each host and html: of the paths that the html has, the best voted one of the host."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, hosts, htmls in column_rows(batches, "key", "host", "html"):
+            rows = [(k, h, p) for k, h, html in zip(keys, hosts, htmls) if html for p in read_page(html).paths()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
+                 pa.array([r[2] for r in rows], pa.string())], ["key", "host", "path"]
+            )
+
+    own = pages.select("key", "host", "html").mapInArrow(run, "key long, host string, path string")
+    order = F.struct((-F.col("votes")).alias("votes"), (-F.length("path")).alias("length"), "path")
+    return own.join(counted, ["host", "path"]).groupBy("host", "key").agg(F.min(order)["path"].alias("chosen"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     ship(pages.sparkSession)
-    winners = stored(host_paths(pages), "host-paths")
-    if winners.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
-        winners = F.broadcast(winners)
+    counted = stored(votes(pages), "votes")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#]*@)?([^/?#@]*)", 1))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("host", host)
+    choose = None
+    if counted.limit(BROADCAST_VOTES + 1).count() <= BROADCAST_VOTES:
+        choose = _by_marks(counted)
+        rows = rows.withColumn("chosen", F.lit(None).cast("string"))
+    else:
+        rows = rows.withColumn("key", F.xxhash64("html"))
+        rows = rows.join(stored(_by_join(rows, counted), "chosen-paths"), ["host", "key"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, urls, htmls, chosen in column_rows(batches, "page_id", "url", "html", "paths"):
+        for ids, urls, htmls, hosts, chosen in column_rows(batches, "page_id", "url", "html", "host", "chosen"):
             texts = []
-            for html, paths in zip(htmls, chosen):
+            for html, host, path in zip(htmls, hosts, chosen):
                 page = read_page(html) if html else None
                 if page is None:
                     texts.append("")
                     continue
-                there = page.paths()
-                path = next((p for p in paths or () if p in there), None)
+                if choose is not None:
+                    path = choose(host, page.paths())
                 text = page.text_under(path) if path is not None else ""
                 if not text:
                     own = page.best_path()
@@ -300,9 +352,6 @@ def extract(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("host", host)
-    return (
-        rows.join(winners, "host", "left")
-        .select("page_id", "url", "html", "paths")
-        .mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.select("page_id", "url", "html", "host", "chosen").mapInArrow(
+        run, "page_id long, url string, text string, n_chars long"
     )

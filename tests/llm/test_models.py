@@ -197,6 +197,20 @@ def test_hosts_agree_on_a_path(spark):
     assert {r.host: r.paths[0] for r in extraction.host_paths(pages).collect()} == {"h.example": ">div.story"}
 
 
+@pytest.mark.parametrize("broadcast", [extraction.BROADCAST_VOTES, 0])
+def test_a_host_may_have_many_paths(spark, monkeypatch, broadcast):
+    """The path ranked twelfth is found as the first one is, by either way of matching."""
+    monkeypatch.setattr(extraction, "BROADCAST_VOTES", broadcast)
+    page = "<body><div class='story {0}'><p>{1}</p></div><div class='x{0}'><p>{2}</p></div></body>"
+    kinds = "abcdefghijkl"
+    rows = [(100 * k + n, "http://h.example/p", page.format(kind * 4, f"words of story {n} that count here", "z"))
+            for k, kind in enumerate(kinds) for n in range(14 - k)]
+    rows += [(9000 + k, "http://h.example/p", page.format(kind * 4, "short story of this one page", "z " * 400)) for k, kind in enumerate(kinds)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extraction.extract(pages).collect()}
+    assert [got[9000 + k] for k in range(len(kinds))] == ["short story of this one page"] * len(kinds)
+
+
 TURNS = [
     (0, 0, "user", "hi"), (0, 1, "assistant", "a"), (0, 2, "user", "q"), (1, 0, "user", "hi"), (1, 1, "assistant", "b<|im_end|>"),
     (2, 0, "user", "x"), (2, 1, "assistant", "y"), (3, 0, "user", "x"), (3, 1, "assistant", "y"), (3, 1, "assistant", "y"),
