@@ -4,7 +4,8 @@
    weight handed up for each level; containers that are menus, headers, footers, asides, forms, adverts, notices or
    comments by tag, role, class or id score nothing, and nor does what they hold.
 2. A page votes for the path of its best container: tags with classes and ids from the body down, digits
-   generalised; an article or main element around it stands for it. Votes are counted for each host in Spark.
+   generalised; an article or main element around it stands for it, else the outermost container named as an
+   article, and what then holds besides it only headings (plain text, too, where no name tells). Votes are counted for each host in Spark.
 3. Every page is read again by the most voted path of its host that it has, however many its host has; a page whose
    path has no text there is read by its own best container.
 
@@ -66,6 +67,7 @@ CLOSED_BY = {
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 HANDED_UP = 0.5
+MOST_LINKED = 0.3  # of a plain block's text
 BROADCAST_VOTES = 1_000_000  # 16 bytes each in every Python worker; beyond it a shuffled join
 
 
@@ -87,11 +89,12 @@ def _step(tag: str, names: str) -> str:
 
 
 class Node:
-    __slots__ = ("tag", "path", "outside", "hint", "score", "parent", "header", "article")
+    __slots__ = ("tag", "path", "outside", "hint", "score", "parent", "header", "article", "named")
 
-    def __init__(self, tag: str, path: str, parent: Node | None, outside: bool, hint: float, header: bool, article: bool):
+    def __init__(self, tag: str, path: str, parent: Node | None, outside: bool, hint: float, header: bool, article: bool,
+                 named: bool = False):
         self.tag, self.path, self.parent, self.outside, self.hint = tag, path, parent, outside, hint
-        self.header, self.article = header, article
+        self.header, self.article, self.named = header, article, named
         self.score = 0.0
 
 
@@ -139,7 +142,7 @@ class Page(HTMLParser):
         hint = 2.0 if tag in ("article", "main") else 1.3 if words & INSIDE else 1.0
         header = parent.header or tag == "header" or (bool(words & HEADER) and tag not in HEADINGS and tag not in ("article", "main"))
         article = parent.article or tag in ("article", "main") or bool(words & ARTICLE)
-        node = Node(tag, f"{parent.path}>{_step(tag, names)}", parent, outside, hint, header, article)
+        node = Node(tag, f"{parent.path}>{_step(tag, names)}", parent, outside, hint, header, article, bool(words & ARTICLE))
         self.stack.append(node)
         self.nodes.append(node)
 
@@ -216,7 +219,34 @@ class Page(HTMLParser):
                 if node.tag == tag:
                     return node.path
                 node = node.parent
-        return None if top is None else top.path
+        return None if top is None else self._whole(top).path
+
+    def _whole(self, top: Node) -> Node:
+        """The container that has the rest of the article whose largest part is ``top``."""
+        chain = [top]
+        while chain[-1].parent is not None:
+            chain.append(chain[-1].parent)
+        named = [level for level, node in enumerate(chain) if node.named]
+        level = named[-1] if named else 0
+        levels = {id(node): k for k, node in enumerate(chain)}
+        rest: dict[int, list] = {}
+        for node, text, linked in self.blocks:
+            if self._counts(node):
+                at = node
+                while id(at) not in levels:
+                    at = at.parent
+                rest.setdefault(levels[id(at)], []).append((node, text, linked))
+        # The root is no container: beside it stands all that the page has.
+        for above in range(level + 1, len(chain) - 1):
+            beside = rest.get(above, ())
+            if any(
+                node.tag not in HEADINGS and (named or node.article or linked > MOST_LINKED * len(text))
+                for node, text, linked in beside
+            ):
+                break
+            if beside:
+                level = above
+        return chain[level]
 
     def text_under(self, path: str) -> str:
         """Blocks of all containers of this path."""

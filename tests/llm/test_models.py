@@ -186,6 +186,23 @@ def test_pages(html, text):
     assert (page.text_under(path) if path is not None else "") == text
 
 
+LEAD, ONE, TWO = ("%s of the text that is long enough to count" % w for w in ("The lead", "A first section" * 9, "A second section"))
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<div class='post'><h1>Title</h1><div class='post-body'><p>{1}</p></div></div>", "Title\n{1}"),
+    ("<div class='wrap'><h1>Title</h1><div class='post-body'><p>{1}</p></div></div><div class='x'><p>{2}</p></div>", "Title\n{1}"),
+    ("<div class='a'><div class='b'><h1>Title</h1><div class='c'>{0}</div><div class='d'><h2>One</h2><p>{1}</p></div>"
+     "<div class='e'><h2>Two</h2><p>{2}</p></div></div><div class='f'><a href='/'>Another story that is only linked here</a></div></div>",
+     "Title\n{0}\nOne\n{1}\nTwo\n{2}"),
+    ("<div class='a'><div class='story'><p>{0}</p></div><div class='x'><p>{1}</p></div></div>", "{1}"),
+])
+def test_pages_of_containers_without_article_tags(html, text):
+    """Headline, lead and sections beside the largest container are parts of the article."""
+    page = extraction.read_page("<body>" + html.format(LEAD, ONE, TWO) + "</body>")
+    assert page.text_under(page.best_path()) == text.format(LEAD, ONE, TWO)
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose comments outweigh its article is read by its host's path."""
     page = "<body><div class='story'><p>{}</p></div><div class='x{}'><p>{}</p></div></body>"
