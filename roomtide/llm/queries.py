@@ -83,5 +83,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def reply_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.reply_pairs(table(spark, sf_dir, "conversations"))
+
+
+def more_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Further queries of an operator that has its own above."""
+    return {"reply_preferences": reply_preferences}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_preferences": preferences.ORACLE_SQL}
+    return {"op4_preferences": preferences.ORACLE_SQL, "reply_preferences": preferences.REPLY_SQL}

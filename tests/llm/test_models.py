@@ -253,6 +253,22 @@ def test_spans_cover_the_assistant(spark):
     assert (rows[1].chosen, rows[1].rejected, rows[1].prompt_turns) == ("", "", 2) and rows[5].prompt == ""
 
 
+@pytest.mark.parametrize("rows", [
+    TURNS, [], TURNS[:3], [(k, t, r, f"{r} {k * t}") for k in range(3000) for t, r in enumerate(["user", "assistant", "user"])],
+])
+def test_every_conversation_has_a_pair_with_a_shared_prompt(spark, rows):
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = preferences.reply_pairs(turns)
+    conversations = turns.toArrow()  # noqa: F841  read by the statement below
+    result = duckdb.sql(preferences.REPLY_SQL)
+    found = got.select(*result.columns).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(result.fetchall(), key=str)
+    assert {r.pair_id for r in found} == {r[0] for r in rows if r[0] is not None} and len(found) == len({r.pair_id for r in found})
+    if len(rows) > 3:
+        assert all(r.prompt for r in found if r.rejected_id is not None and r.chosen_id < 3000 and r.prompt_turns)
+        assert sum(r.prompt_turns > 0 for r in found) > 0.9 * len(found)
+
+
 def test_queries_are_registered():
     names = sorted(queries(), key=lambda n: int(n[2:].split("_")[0]))
     assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
