@@ -124,7 +124,8 @@ class NgramTrie:
 
     Level one: sorted context hashes, and monotone pointers to where each one's successors begin. Level two: the
     successors' 32-bit marks, sorted within their context and made monotone by the context's number, with one
-    byte each for the discounted probability. ``open`` maps a file that ``dump`` made.
+    byte each for the discounted probability. That key replaces the pointers in ``lookup``, which does not read
+    them. ``open`` maps a file that ``dump`` made.
     """
 
     def __init__(self, contexts: EliasFano, pointers: EliasFano, successors: EliasFano, codes: np.ndarray):
