@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, sharding, toxicity
+from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, prefix_trie, sharding, toxicity
+
 
 def vocabulary(name: str) -> str:
     """A vocabulary file: in the folder ROOMTIDE_TOKENIZERS names, else where ``public_tokenizers`` has it."""
@@ -68,6 +69,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_corpus(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_opening_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -80,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_main_text": op8_main_text,
         "op9_huffman_files": op9_huffman_files,
         "op10_language_model": op10_language_model,
+        "op12_prefix_trie": op12_prefix_trie,
     }
 
 
@@ -93,4 +99,8 @@ def more_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_preferences": preferences.ORACLE_SQL, "reply_preferences": preferences.REPLY_SQL}
+    return {
+        "op4_preferences": preferences.ORACLE_SQL,
+        "reply_preferences": preferences.REPLY_SQL,
+        "op12_prefix_trie": prefix_trie.ORACLE_SQL,
+    }
