@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomtide.llm.support import column_rows, ship, stored
-from roomtide.llm.turns import numbered, running
+from roomtide.llm.turns import CRC32, numbered, running
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WIDTH = 8  # positional columns of a row
@@ -267,11 +267,6 @@ def shared_opening_trie(conversations: DataFrame) -> DataFrame:
     return prefix_nodes(*with_shared_openings(ordered_turns(conversations)))
 
 
-# crc32 of an ASCII text, bit by bit: the polynomial 0xEDB88320 is a fixed value.
-CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
-    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
-        lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
-
 ORACLE_SQL = f"""
 WITH turns AS (
     SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, prefix_trie, sharding, toxicity
+from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, prefix_trie, repair, sharding, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -73,6 +73,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_opening_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_huffman_files": op9_huffman_files,
         "op10_language_model": op10_language_model,
         "op12_prefix_trie": op12_prefix_trie,
+        "op13_repair": op13_repair,
     }
 
 
@@ -103,4 +108,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_preferences": preferences.ORACLE_SQL,
         "reply_preferences": preferences.REPLY_SQL,
         "op12_prefix_trie": prefix_trie.ORACLE_SQL,
+        "op13_repair": repair.ORACLE_SQL,
     }

@@ -9,30 +9,39 @@ from roomtide.llm.support import stored
 
 RUN = 4096  # rows that one window may hold
 
+# crc32 of an ASCII text, bit by bit: the polynomial 0xEDB88320 is a fixed value.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
 
-def numbered(rows: DataFrame, ties: list[str], name: str, drop: list[str] = ()) -> DataFrame:
-    """``rows`` with ``position``, from 1 on in each conv_id: by turn (nulls first), then by the columns ``ties``.
 
-    The rows are dealt in ranges of that order, so a conversation may cover any number of partitions; what a partition
-    holds of a conversation is counted, and only these counts meet. Rows that agree in all of the order's columns are
-    neighbours. A null conv_id is a conversation of its own. ``drop`` names columns that are not needed afterwards.
+def in_order(rows: DataFrame, ties: list[str], name: str, drop: list[str] = ()) -> DataFrame:
+    """``rows`` with ``at``, a whole number that rises in each conv_id by turn (nulls first), then by the columns ``ties``.
+
+    The rows are dealt in ranges of that order, so a conversation may cover any number of partitions; ``at`` is the
+    partition's number (from bit 33 on) and the place in it. Rows that agree in all of the order's columns are
+    neighbours. The result is a written table without the columns ``drop``, so ``at`` stays as it is.
     """
     order = ["conv_id", "turn", *ties]
-    placed = (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id())  # partition number and place in it
-        .drop(*drop)
-    )
-    placed = stored(placed, name).withColumn("_part", F.shiftrightunsigned("_at", 33))
-    pieces = placed.groupBy("conv_id", "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(placed.withColumn("at", F.monotonically_increasing_id()).drop(*drop), name)
+
+
+def numbered(rows: DataFrame, ties: list[str], name: str, drop: list[str] = ()) -> DataFrame:
+    """``rows`` with ``position``, from 1 on in each conv_id, in the order of ``in_order``.
+
+    What a partition holds of a conversation is counted, and only these counts meet. A null conv_id is a conversation
+    of its own.
+    """
+    placed = in_order(rows, ties, name, drop).withColumn("_part", F.shiftrightunsigned("at", 33))
+    pieces = placed.groupBy("conv_id", "_part").agg(F.min("at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(Window.partitionBy("conv_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     pieces = pieces.select(
         F.col("conv_id").alias("_conv"), F.col("_part").alias("_piece"),
         (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
     met = placed.join(pieces, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_part") == F.col("_piece")))
-    return met.withColumn("position", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_conv", "_piece", "_shift")
+    return met.withColumn("position", F.col("at") + F.col("_shift")).drop("at", "_part", "_conv", "_piece", "_shift")
 
 
 def running(rows: DataFrame, key: str, place: str, values: list[str], after: bool = False) -> DataFrame:
