@@ -9,7 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomtide.llm import bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, prefix_trie, repair, sharding, toxicity
+from roomtide.llm import (
+    bpe, decontamination, extraction, fingerprints, huffman, jaccard, language_model, preferences, prefix_trie, quality, repair, sharding, toxicity,
+)
 
 
 def vocabulary(name: str) -> str:
@@ -69,6 +71,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_corpus(table(spark, sf_dir, "documents"))
 
 
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_opening_trie(table(spark, sf_dir, "conversations"))
 
@@ -89,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_main_text": op8_main_text,
         "op9_huffman_files": op9_huffman_files,
         "op10_language_model": op10_language_model,
+        "op11_line_quality": op11_line_quality,
         "op12_prefix_trie": op12_prefix_trie,
         "op13_repair": op13_repair,
     }
