@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,3 +28,8 @@ def hour_parts(ts: Column) -> dict[str, Column]:
 
 def seconds_between(start: Column, end: Column) -> Column:
     return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000.0)
+
+
+def utc(at: datetime) -> datetime:
+    """A time without a zone is UTC, whatever the driver's zone."""
+    return at if at.tzinfo else at.replace(tzinfo=timezone.utc)

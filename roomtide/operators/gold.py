@@ -114,6 +114,11 @@ def whale_analytics(gifts: DataFrame, category: str = "npc") -> DataFrame:
         .groupBy("streamer", "archetype", _handle(gifts).alias("gifter"))
         .agg(F.sum(_coins()).alias("user_diamonds"))
     )
+    return whales_of(per_user)
+
+
+def whales_of(per_user: DataFrame) -> DataFrame:
+    """The view from one row (streamer, archetype, gifter, user_diamonds) per spender."""
     share = F.try_divide(F.col("top_whale_diamonds"), F.col("total_diamonds")) * 100
     return (
         per_user.groupBy("streamer", "archetype")
@@ -128,7 +133,7 @@ def whale_analytics(gifts: DataFrame, category: str = "npc") -> DataFrame:
 
 
 def streak_dynamics(gifts: DataFrame, category: str = "npc") -> DataFrame:
-    return (
+    return ordered_streaks(
         gifts.where((F.col("category") == category) & F.col("is_repeat_end"))
         .groupBy("streamer", "archetype", "gift_name")
         .agg(
@@ -137,12 +142,15 @@ def streak_dynamics(gifts: DataFrame, category: str = "npc") -> DataFrame:
             F.max("repeat_count").alias("max_combo_streak"),
             F.sum(_coins()).alias("total_diamonds_generated"),
         )
-        .orderBy(*_order("total_diamonds_generated", then=("streamer", "archetype", "gift_name")))
     )
 
 
+def ordered_streaks(streaks: DataFrame) -> DataFrame:
+    return streaks.orderBy(*_order("total_diamonds_generated", then=("streamer", "archetype", "gift_name")))
+
+
 def vertical_performance(pins: DataFrame, category: str = "ecommerce") -> DataFrame:
-    return (
+    return ordered_verticals(
         pins.where(F.col("category") == category)
         .groupBy(F.col("archetype").alias("product_category"), "streamer")
         .agg(
@@ -151,10 +159,13 @@ def vertical_performance(pins: DataFrame, category: str = "ecommerce") -> DataFr
             F.min("event_timestamp").alias("session_start"),
             F.max("event_timestamp").alias("session_last_pin"),
         )
-        .orderBy(*_order("total_pin_events", then=("product_category", "streamer")))
     )
 
 
+def ordered_verticals(verticals: DataFrame) -> DataFrame:
+    return verticals.orderBy(*_order("total_pin_events", then=("product_category", "streamer")))
+
+
 def create_gold_views(spark: SparkSession, gifts: DataFrame, pins: DataFrame) -> list[str]:
     """Register the three views for SQL users; they are computed on read."""
     views = {

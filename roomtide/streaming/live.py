@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from roomtide.functions.timeparts import utc
 from roomtide.operators.silver import typed
 from roomtide.schemas import ENVELOPE, LIVE_SORT, TABLES
 from roomtide.sinks.archive import ROWS_PER_FILE, write_archive
-from roomtide.sinks.folders import child_names, delete_folder
+from roomtide.sinks.months import finished_batch, fold_months, read_months
 from roomtide.sinks.tables import write_live
 from roomtide.sources.envelopes import parse_envelopes
 
 
-def route_batch(lines: DataFrame, batch_id: int, out_root: str, max_bad_per_batch: int | None = None) -> None:
+def route_batch(lines: DataFrame, batch_id: int, out_root: str, max_bad_per_batch: int | None = None,
+                also: Callable[[DataFrame, str, int], None] | None = None) -> None:
     """Type one micro-batch into the live tables.
 
+    ``also`` gets the batch's good envelopes, ``out_root`` and the batch, to write what else is kept of a batch, such
+    as the partial aggregates of ``views.write_partials``.
+
     Every write lies in a folder of the batch, so a replay after a failure replaces it. The batch is
     parsed once; unreadable and undated lines go to the quarantine, and ``max_bad_per_batch`` turns too
     many of them into an error.
@@ -32,6 +40,8 @@ def route_batch(lines: DataFrame, batch_id: int, out_root: str, max_bad_per_batc
         envelope = parsed.where(F.col("problem").isNull())
         for kind, table in TABLES.items():
             write_live(typed(envelope, kind, "live"), table, out_root, batch_id)
+        if also is not None:
+            also(envelope, out_root, batch_id)
         (
             parsed.where(F.col("problem").isNotNull())
             .select("raw", F.col("problem").alias("reason"), F.lit(batch_id).alias("batch_id"))
@@ -45,7 +55,8 @@ def route_batch(lines: DataFrame, batch_id: int, out_root: str, max_bad_per_batc
 
 
 def start_live(lines: DataFrame, out_root: str, checkpoint: str, every: str | None = None,
-               max_bad_per_batch: int | None = None, optional_dedup: str | None = None) -> StreamingQuery:
+               max_bad_per_batch: int | None = None, optional_dedup: str | None = None,
+               also: Callable[[DataFrame, str, int], None] | None = None) -> StreamingQuery:
     """Start the routing query on a stream of text lines (``value``).
 
     ``every`` is a processing-time interval; None handles what is there and stops.
@@ -63,7 +74,7 @@ def start_live(lines: DataFrame, out_root: str, checkpoint: str, every: str | No
         )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        route_batch(batch, batch_id, out_root, max_bad_per_batch)
+        route_batch(batch, batch_id, out_root, max_bad_per_batch, also)
 
     return _start(stream, handle, checkpoint, every)
 
@@ -84,66 +95,40 @@ def _start(stream: DataFrame, handle, checkpoint: str, every: str | None) -> Str
     return writer.start()
 
 
-def _base_folder(out_root: str, table: str, upto: int) -> str:
-    return f"{out_root.rstrip('/')}/{table}_base/upto={upto}"
+def live_columns(spark: SparkSession, table: str) -> T.StructType:
+    """The columns of a live table with its month."""
+    kind = next(k for k, t in TABLES.items() if t == table)
+    return typed(spark.createDataFrame([], ENVELOPE), kind, "live").schema.add("yyyymm", "string")
 
 
-def _bases(spark: SparkSession, out_root: str, table: str) -> list[int]:
-    """The last batch of each complete base, newest first."""
-    names = child_names(spark, f"{out_root.rstrip('/')}/{table}_base")
-    found = sorted((int(n.removeprefix("upto=")) for n in names if n.startswith("upto=")), reverse=True)
-    return [n for n in found if "_SUCCESS" in child_names(spark, _base_folder(out_root, table, n))]
+def read_live(spark: SparkSession, out_root: str, table: str) -> DataFrame:
+    """A live table with its month column: each month's runs and the batches behind them."""
+    return read_months(spark, f"{out_root.rstrip('/')}/{table}", live_columns(spark, table))
 
 
-def read_live(spark: SparkSession, out_root: str, table: str) -> DataFrame:
-    """A live table with its month column: the newest base and the batches behind it."""
-    kind = next(k for k, t in TABLES.items() if t == table)
-    columns = typed(spark.createDataFrame([], ENVELOPE), kind, "live").schema.add("yyyymm", "string")
-    path = f"{out_root.rstrip('/')}/{table}"
-    bases = _bases(spark, out_root, table)
-    if bases and not child_names(spark, path):
-        return spark.read.schema(columns).parquet(_base_folder(out_root, table, bases[0]))
-    batches = spark.read.schema(T.StructType([*columns.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
-    if not bases:
-        return batches.drop("batch_id")
-    newer = batches.where(F.col("batch_id") > bases[0]).drop("batch_id")
-    return spark.read.schema(columns).parquet(_base_folder(out_root, table, bases[0])).unionByName(newer)
-
-
-def compact_live(spark: SparkSession, out_root: str, table: str, upto: int) -> None:
-    """Fold all batches up to ``upto`` into one sorted base; later batches stay as they are.
-
-    ``upto`` must be a batch that the stream has finished. Readers take a base once it is complete, so they see
-    each row once before, during and after; a replay of a folded batch is not seen twice. What only readers of the
-    base before the last can need is deleted: older bases and the batches that the last base had folded.
+def sorted_months(table: str, expire_before: datetime | None = None) -> Callable[[DataFrame], DataFrame]:
+    """How a live table's rows are laid out in runs; rows from before ``expire_before`` are left out."""
+
+    def lay_out(rows: DataFrame) -> DataFrame:
+        if expire_before is not None:
+            rows = rows.where(F.col("event_timestamp") >= F.lit(utc(expire_before)))
+        return rows.hint("rebalance", F.col("yyyymm"), F.col("streamer")).sortWithinPartitions("yyyymm", *LIVE_SORT[table])
+
+    return lay_out
+
+
+def compact_live(spark: SparkSession, out_root: str, table: str, upto: int, checkpoint: str | None = None,
+                 expire_before: datetime | None = None) -> list[str]:
+    """Fold all batches up to ``upto`` into sorted runs by month and level; gives the months that changed.
+
+    ``upto`` must be a batch that the stream has finished, which is checked where ``checkpoint`` names the stream's.
+    Cost goes with the new batches and their months; other months' files stay as they are. Readers see each row once
+    before, during and after; a replay of a folded batch is not seen twice. ``expire_before`` leaves out older rows.
     """
-    before = _bases(spark, out_root, table)
-    if before and before[0] >= upto:
-        return
+    if checkpoint is not None and upto > finished_batch(spark, checkpoint):
+        raise ValueError(f"batch {upto} is not finished")
     path = f"{out_root.rstrip('/')}/{table}"
-    columns = T.StructType([f for f in read_live(spark, out_root, table).schema.fields])
-    batches = spark.read.schema(columns.add("batch_id", "long")).parquet(path)
-    batches = batches.where(F.col("batch_id") <= upto)
-    rows = batches
-    if before:
-        rows = batches.where(F.col("batch_id") > before[0])
-    rows = rows.drop("batch_id")
-    if before:
-        base = spark.read.schema(rows.schema).parquet(_base_folder(out_root, table, before[0]))
-        rows = base.unionByName(rows)
-    (
-        rows.hint("rebalance", F.col("yyyymm"), F.col("streamer"))
-        .sortWithinPartitions("yyyymm", *LIVE_SORT[table])
-        .write.mode("overwrite").option("compression", "zstd").partitionBy("yyyymm")
-        .parquet(_base_folder(out_root, table, upto))
-    )
-    for old in before[1:]:
-        delete_folder(spark, _base_folder(out_root, table, old))
-    if before:
-        for month in child_names(spark, path):
-            for batch in child_names(spark, f"{path}/{month}"):
-                if batch.startswith("batch_id=") and int(batch.removeprefix("batch_id=")) <= before[0]:
-                    delete_folder(spark, f"{path}/{month}/{batch}")
+    return fold_months(spark, path, live_columns(spark, table), upto, sorted_months(table, expire_before))
 
 
 def read_quarantine(spark: SparkSession, out_root: str) -> DataFrame:

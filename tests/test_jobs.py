@@ -15,6 +15,7 @@ from roomtide.sinks.archive import write_archive
 from roomtide.sinks.messages import append_jsonl, to_messages
 from roomtide.sinks.tables import materialise, write_day, write_live
 from roomtide.sources.archive import read_all_days
+from roomtide.streaming.live import read_live
 
 DAY = "2024-01-05"
 
@@ -171,9 +172,10 @@ def test_retention(spark, tmp_path, envelope):
     kept = retained(table, F.lit(datetime(2024, 2, 10)).cast("timestamp"))
     assert kept.count() == 2
     assert "PartitionFilters: [isnotnull(yyyymm" in plan_of(kept)
-    assert drop_expired(spark, f"{root}/likes", datetime(2024, 2, 10)) == ["202301"]
-    assert sorted(p.name for p in Path(root, "likes").glob("yyyymm=*")) == ["yyyymm=202302", "yyyymm=202401"]
-    assert drop_expired(spark, str(tmp_path / "none"), datetime(2024, 2, 10)) == []
+    assert drop_expired(spark, root, "likes", datetime(2024, 2, 10)) == ["202301"]
+    assert sorted(r.yyyymm for r in read_live(spark, root, "likes").collect()) == ["202302", "202401"]
+    assert drop_expired(spark, root, "likes", datetime(2024, 2, 10)) == []
+    assert drop_expired(spark, str(tmp_path / "none"), "likes", datetime(2024, 2, 10)) == []
 
 
 def test_a_month_expires_as_a_whole():
