@@ -463,10 +463,9 @@ def oracle_sql() -> dict[str, str]:
         inputs.LINES, "select value as raw, reason from p where reason is not null", p=f"select value, {problem} as reason from src"
     )
     sql["nightly_quarantine"] = sql["quarantine"]
-    nights = "substr(received_at, 1, 10) in ('2024-01-05', '2024-01-06', '2024-01-07')"
     sql["nightly_run"] = with_bronze(
         f"""select {TABLE_OF} as item, category, streamer, {parts}, count(*) as n, min({TS}) as first_event from bronze
- where event_type in ({', '.join(f"'{k}'" for k in KINDS)}) and {nights}
+ where event_type in ({', '.join(f"'{k}'" for k in KINDS)})
  and not (event_type = 'gift' and substr(received_at, 1, 10) = '2024-01-06') group by all"""
     )
     sql["nightly_dry_run"] = with_bronze(
@@ -479,17 +478,8 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["registry_stream"] = sql["registry_state"]
     sql["archive_stream"] = with_bronze(
-        f"""select {topic}, {message(head)} as value, {parts}, strftime({TS}, '%H') as hour from bronze where {nights}"""
-    )
-    # The same over every day that the messages have.
-    sql["archive_stream_all"] = with_bronze(
         f"select {topic}, {message(head)} as value, {parts}, strftime({TS}, '%H') as hour from bronze"
     )
-    sql["nightly_every_day"] = with_bronze(
-        f"""select {TABLE_OF} as item, category, streamer, {parts}, count(*) as n, min({TS}) as first_event from bronze
- where event_type in ({', '.join(f"'{k}'" for k in KINDS)})
- and not (event_type = 'gift' and substr(received_at, 1, 10) = '2024-01-06') group by all"""
-    )
     routed = {
         "p": f"select value, {problem} as reason from src",
         "env": """select json_extract_string(value, '$.streamer') as streamer, json_extract_string(value, '$.category') as category,
@@ -507,4 +497,18 @@ def oracle_sql() -> dict[str, str]:
     sql["live_stream_whales"] = with_input(
         inputs.LINES, whale("t", "unique_id"), **routed, t=typed_sql("gifts", "live", "env")
     )
+    sql["live_view_whales"] = sql["live_stream_whales"]
+    sql["live_view_streaks"] = with_input(inputs.LINES, streak("t"), **routed, t=typed_sql("gifts", "live", "env"))
+    sql["live_view_verticals"] = with_input(
+        inputs.LINES, vertical("t"), **routed, t=typed_sql("product_pins", "live", "env")
+    )
+    sql["live_retention"] = with_input(
+        inputs.LINES,
+        " union all ".join(
+            f"""select '{table}' as item, streamer, cast(event_timestamp as date) as day, count(*) as n from t_{table}
+ where event_timestamp >= timestamp '2024-01-15 12:00:00' group by all"""
+            for table in TABLES.values()
+        ),
+        **routed, **{f"t_{table}": typed_sql(table, "live", "env") for table in TABLES.values()},
+    )
     return sql

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from roomtide.operators import checks, gate, gold, registry, sessions, spider, t
 from roomtide.operators.silver import typed
 from roomtide.plans.local import run_local
 from roomtide.plans.nightly import read_nightly, read_undated_quarantine, run_nightly, run_undated
-from roomtide.plans.retention import retained
+from roomtide.plans.retention import drop_expired, retained, years_before
 from roomtide.runtime import cut_lineage, shared_folder
 from roomtide.schemas import ENVELOPE, LOCAL_KINDS, REGISTRY_EVENTS, TABLES
 from roomtide.sinks.archive import write_archive
@@ -33,6 +34,7 @@ from roomtide.sinks.messages import append_jsonl, to_messages
 from roomtide.sources.archive import archive_columns, read_all_days
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
+from roomtide.streaming import views
 from roomtide.streaming.heartbeat import read_heartbeat, start_heartbeat
 from roomtide.streaming.live import compact_live, read_live, read_quarantine, start_archive, start_live
 from roomtide.streaming.registry import read_latest, start_registry
@@ -194,8 +196,7 @@ def registry_in_steps(spark, sf_dir):
     return registry.fold_registry(log.where(F.col("seq") > middle), first)
 
 
-# Three days of the archive; the second one is corrected and run again.
-NIGHTS = ("2024-01-05", "2024-01-06", "2024-01-07")
+DRY_DAY, CORRECTED_DAY = "2024-01-05", "2024-01-06"
 
 
 def _every_day(spark, sf_dir):
@@ -211,19 +212,14 @@ def _run_nights(spark, sf_dir, root, days):
     write_archive(to_messages(every), f"{root}/lake", batch_id=0, rebalance=True)
     for day in days:
         run_nightly(spark, f"{root}/lake", day, out_root=f"{root}/out")
-    taken_out = (F.substring("received_at", 1, 10) == NIGHTS[1]) & (F.col("event_type") == "gift")
+    taken_out = (F.substring("received_at", 1, 10) == CORRECTED_DAY) & (F.col("event_type") == "gift")
     corrected = every.where(~F.coalesce(taken_out, F.lit(False)))
     write_archive(to_messages(corrected), f"{root}/corrected", batch_id=0, rebalance=True)
-    run_nightly(spark, f"{root}/corrected", NIGHTS[1], out_root=f"{root}/out")
+    run_nightly(spark, f"{root}/corrected", CORRECTED_DAY, out_root=f"{root}/out")
 
 
 @job("nightly")
 def nightly_of(spark, sf_dir, root):
-    _run_nights(spark, sf_dir, root, NIGHTS)
-
-
-@job("nightly-all")
-def every_night_of(spark, sf_dir, root):
     _run_nights(spark, sf_dir, root, _every_day(spark, sf_dir))
 
 
@@ -239,17 +235,13 @@ def _nightly_rows(spark, root):
 
 
 def nightly_run(spark, sf_dir):
-    """Three single days out of the whole archive; ``nightly_every_day`` runs all that the data have."""
+    """A nightly run for every day that the messages have, one of them corrected and run again."""
     return _nightly_rows(spark, f"{nightly_of(spark, sf_dir)}/out")
 
 
-def nightly_every_day(spark, sf_dir):
-    return _nightly_rows(spark, f"{every_night_of(spark, sf_dir)}/out")
-
-
 def nightly_dry_run(spark, sf_dir):
     """One day out of the archive of all messages."""
-    return run_nightly(spark, archive_of(spark, sf_dir), NIGHTS[0], dry_run=True).select("date", "item", "rows")
+    return run_nightly(spark, archive_of(spark, sf_dir), DRY_DAY, dry_run=True).select("date", "item", "rows")
 
 
 @job("undated")
@@ -307,26 +299,44 @@ def archive_stream_of(spark, sf_dir, root):
     start_archive(stream, f"{root}/out", f"{root}/checkpoint", every=None).awaitTermination()
 
 
-def archive_stream_all(spark, sf_dir):
+def archive_stream(spark, sf_dir):
     stored = read_all_days(spark, f"{archive_stream_of(spark, sf_dir)}/out")
     return stored.select("topic", "value", "year", "month", "day", "hour")
 
 
-def archive_stream(spark, sf_dir):
-    """Three days read out of the archive of all messages; ``archive_stream_all`` gives the whole of it."""
-    return archive_stream_all(spark, sf_dir).where(F.concat_ws("-", "year", "month", "day").isin(*NIGHTS))
-
-
 @job("compacted")
 def compacted_of(spark, sf_dir, root):
-    """The damaged lines through the routing query in three batches, the first two folded into a base."""
-    lines = spark_input(spark, sf_dir, inputs.LINES)
+    """The damaged lines through the routing query in three batches, views kept up, the first two batches folded."""
+    lines, out, checkpoint = spark_input(spark, sf_dir, inputs.LINES), f"{root}/out", f"{root}/checkpoint"
     for part in range(3):
         lines.where(F.col("event_id") % 3 == part).select("value").write.mode("append").text(f"{root}/in")
-        start_live(file_lines(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        start_live(file_lines(spark, f"{root}/in"), out, checkpoint, also=views.write_partials).awaitTermination()
         if part:
             for table in TABLES.values():
-                compact_live(spark, f"{root}/out", table, upto=part - 1)
+                compact_live(spark, out, table, upto=part - 1, checkpoint=checkpoint)
+            for name in views.VIEWS:
+                views.compact_view(spark, out, name, upto=part - 1, checkpoint=checkpoint)
+
+
+def live_view(spark, sf_dir, name):
+    """A view read from the stream's partial aggregates, of which two batches are folded and one is open."""
+    return views.read_view(spark, f"{compacted_of(spark, sf_dir)}/out", name)
+
+
+# A year after the middle of the data, so that the cut falls into a month.
+EXPIRY_NOW = datetime(2025, 1, 15, 12)
+
+
+def live_retention(spark, sf_dir):
+    """What the live tables hold after two batches are folded, the third is folded with the cut, and expired rows go."""
+    out = f"{compacted_of(spark, sf_dir)}/out"
+    parts = []
+    for table in TABLES.values():
+        drop_expired(spark, out, table, EXPIRY_NOW)
+        compact_live(spark, out, table, upto=2, expire_before=years_before(EXPIRY_NOW, 1))
+        counted = read_live(spark, out, table).groupBy("streamer", F.to_date("event_timestamp").alias("day"))
+        parts.append(counted.agg(F.count(F.lit(1)).alias("n")).withColumn("item", F.lit(table)))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def live_routing(spark, sf_dir):
@@ -455,14 +465,16 @@ def queries():
         "quarantine": lambda s, d: quarantined(parse_envelopes(spark_input(s, d, inputs.LINES))),
         "live_routing": live_routing,
         "live_stream_whales": live_whales,
+        "live_view_whales": lambda s, d: live_view(s, d, "npc_whale_analytics"),
+        "live_view_streaks": lambda s, d: live_view(s, d, "npc_streak_dynamics"),
+        "live_view_verticals": lambda s, d: live_view(s, d, "ecommerce_vertical_performance"),
+        "live_retention": live_retention,
         "nightly_run": nightly_run,
-        "nightly_every_day": nightly_every_day,
         "nightly_dry_run": nightly_dry_run,
         "nightly_quarantine": nightly_quarantine,
         "local_run": local_run,
         "registry_stream": registry_stream,
         "archive_stream": archive_stream,
-        "archive_stream_all": archive_stream_all,
     }
     for table in TABLES.values():
         named[f"silver_{table}"] = lambda s, d, t=table: silver(s, d, t)

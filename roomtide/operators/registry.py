@@ -105,6 +105,11 @@ def fold_registry(events: DataFrame, state: DataFrame | None = None, cooldown: s
     return _as_state(change) if state is None else _merge(state, change, cooldown)
 
 
+def event_username() -> Column:
+    """The username that an event's ``handle`` names: only adds strip an at sign."""
+    return F.when(F.col("op") == "add", normalize_handle(F.col("handle"))).otherwise(F.lower("handle"))
+
+
 def _prepared(events: DataFrame, fail_seconds: int) -> DataFrame:
     """Normalised handles, the status an event sets and the cooldown it sets."""
     op = F.col("op")
@@ -117,10 +122,9 @@ def _prepared(events: DataFrame, fail_seconds: int) -> DataFrame:
     status = F.when(op == "invalid", F.lit("blacklisted")).when(
         op == "probation", F.when(F.col("passed"), F.lit("qualified")).otherwise(F.lit("cooldown"))
     )
-    handle = F.when(op == "add", normalize_handle(F.col("handle"))).otherwise(F.lower("handle"))
     prepared = events.withColumns(
         {
-            "handle": handle,
+            "handle": event_username(),
             "new_status": status,
             "new_cooldown": F.col("ts") + F.make_dt_interval(secs=seconds),
             "sets_cooldown": op.isin("offline", "stream_end", "probation"),

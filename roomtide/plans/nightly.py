@@ -1,14 +1,22 @@
-"""One day of the archive into typed, partitioned tables."""
+"""One day of the archive into typed, partitioned tables.
+
+A run writes its tables beside those of the run before, each below the day's folder in one of its own (run=R), and then
+publishes the day: a small file, written whole or not at all, that names the run. Readers follow it, so a day is as it
+was until the new one is complete, in all tables at once; a run that fails leaves nothing that is read.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomtide.operators.silver import typed
 from roomtide.schemas import ENVELOPE, TABLES
-from roomtide.sinks.folders import delete_folder
+from roomtide.sinks.folders import child_names, delete_folder, read_text, write_text
 from roomtide.sinks.tables import write_day
 from roomtide.sources.archive import ANY_TOPIC, day_parts, read_day, read_undated
 from roomtide.sources.envelopes import MALFORMED, good, parse_envelopes, quarantined, well_formed
@@ -25,6 +33,36 @@ def day_folder(root: str, table: str, day: str) -> str:
     return f"{root.rstrip('/')}/silver/{table}/{dated}"
 
 
+def _pointers(spark: SparkSession, root: str, day: str) -> list[str]:
+    """What has been published of a day, newest first."""
+    names = child_names(spark, f"{root.rstrip('/')}/silver/_days/{day}")
+    return sorted((n for n in names if n.isdigit()), reverse=True)
+
+
+def published(spark: SparkSession, root: str, day: str) -> dict:
+    """The run that readers of a day take and the tables it has; without a run the day has none."""
+    versions = _pointers(spark, root, day)
+    if not versions:
+        return {"run": None, "tables": []}
+    return json.loads(read_text(spark, f"{root.rstrip('/')}/silver/_days/{day}/{versions[0]}"))
+
+
+def _publish(spark: SparkSession, root: str, day: str, run: str, tables: list[str]) -> None:
+    """Point readers of the day to ``run``, then delete what other runs have left of it."""
+    versions, folder = _pointers(spark, root, day), f"{root.rstrip('/')}/silver/_days/{day}"
+    number = int(versions[0]) + 1 if versions else 0
+    write_text(spark, f"{folder}/{number:012d}", json.dumps({"run": run, "tables": tables}))
+    for version in versions:
+        delete_folder(spark, f"{folder}/{version}")
+    for table in (*TABLES.values(), "quarantine"):
+        path = day_folder(root, table, day)
+        for name in child_names(spark, path):
+            if name != f"run={run}":
+                delete_folder(spark, f"{path}/{name}")
+        if table not in tables:
+            delete_folder(spark, path)
+
+
 def run_nightly(spark: SparkSession, lake_root: str, date: str, dry_run: bool = False,
                 out_root: str | None = None, topics: str = ANY_TOPIC) -> DataFrame:
     """Type the archive of ``date`` and replace that day's tables; gives a summary row per table.
@@ -32,12 +70,13 @@ def run_nightly(spark: SparkSession, lake_root: str, date: str, dry_run: bool =
     The text is parsed once and kept for the counts and the writes; lost blocks are parsed anew. A
     table without rows has no folder for the day: one of an earlier run goes. A dry run writes nothing and
     counts all event types instead. Undated and unreadable lines go to a quarantine folder of the day.
+    One run of a day at a time.
     """
-    root = out_root or lake_root
+    root, run = out_root or lake_root, uuid.uuid4().hex[:12]
     lines = read_day(spark, lake_root, date, topics)
     if lines is None:
-        if not dry_run:
-            _clear(spark, root, date, [*TABLES.values(), "quarantine"])
+        if not dry_run and published(spark, root, date)["tables"]:
+            _publish(spark, root, date, run, [])
         return spark.createDataFrame([], SUMMARY)
     if dry_run:
         return _type_counts(well_formed(parse_envelopes(lines)), date)
@@ -46,32 +85,26 @@ def run_nightly(spark: SparkSession, lake_root: str, date: str, dry_run: bool =
     parsed = parsed.withColumn("raw", F.when(F.col("problem").isNotNull(), F.col("raw"))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = _counts(parsed)
-        _clear(spark, root, date, [name for name in (*TABLES.values(), "quarantine") if not counts[name]])
-        if counts["total"] + counts["quarantine"] == 0:
-            return spark.createDataFrame([], SUMMARY)
+        full = [name for name in (*TABLES.values(), "quarantine") if counts[name]]
         summary = [(date, "total", counts["total"], None)]
         envelope = good(parsed)
         for kind, table in TABLES.items():
             path = None
             if counts[table]:
-                path = day_folder(root, table, date)
+                path = f"{day_folder(root, table, date)}/run={run}"
                 write_day(typed(envelope, kind, "batch"), path)
             summary.append((date, table, counts[table], path))
         if counts["quarantine"]:
-            path = day_folder(root, "quarantine", date)
+            path = f"{day_folder(root, 'quarantine', date)}/run={run}"
             quarantined(parsed).write.mode("overwrite").partitionBy("reason").parquet(path)
             summary.append((date, "quarantine", counts["quarantine"], path))
-        return spark.createDataFrame(summary, SUMMARY)
+        if full or published(spark, root, date)["tables"]:
+            _publish(spark, root, date, run, full)
+        return spark.createDataFrame(summary if counts["total"] + counts["quarantine"] else [], SUMMARY)
     finally:
         parsed.unpersist()
 
 
-def _clear(spark: SparkSession, root: str, day: str, tables: list[str]) -> None:
-    """Remove what an earlier run has left of the day in tables that have no rows now."""
-    for table in tables:
-        delete_folder(spark, day_folder(root, table, day))
-
-
 def run_undated(spark: SparkSession, lake_root: str, out_root: str | None = None, topics: str = ANY_TOPIC) -> int:
     """Quarantine the archived messages without a readable time; gives their number.
 
@@ -113,8 +146,14 @@ def _counts(parsed: DataFrame) -> dict[str, int]:
     return row.asDict()
 
 
-def read_nightly(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A typed table over all its days; year, month, day, category and streamer prune folders.
+def published_days(spark: SparkSession, root: str) -> dict[str, dict]:
+    """What readers take of each day that has been published."""
+    days = sorted(child_names(spark, f"{root.rstrip('/')}/silver/_days"))
+    return {day: published(spark, root, day) for day in days}
+
+
+def read_nightly(spark: SparkSession, root: str, table: str, days: list[str] | None = None) -> DataFrame:
+    """A typed table over all its days, or ``days``; year, month, day, category and streamer prune folders.
 
     Partition values are text, so month=09 keeps its zero.
     """
@@ -123,4 +162,8 @@ def read_nightly(spark: SparkSession, root: str, table: str) -> DataFrame:
     columns = typed(spark.createDataFrame([], ENVELOPE), kind, "batch").schema
     for part in ("year", "month", "day"):
         columns = columns.add(part, "string")
-    return spark.read.schema(columns).parquet(base)
+    found = published_days(spark, root) if days is None else {d: published(spark, root, d) for d in days}
+    folders = [f"{day_folder(root, table, d)}/run={p['run']}" for d, p in found.items() if table in p["tables"]]
+    if not folders:
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).option("basePath", base).parquet(*folders).select(*columns.names)

@@ -9,7 +9,7 @@ from contract import spark_queries
 from contract.inputs import bronze
 from roomtide.operators.silver import typed
 from roomtide.plans.local import local_tables, run_local
-from roomtide.plans.nightly import read_nightly, read_undated_quarantine, run_nightly, run_undated
+from roomtide.plans.nightly import published, read_nightly, read_undated_quarantine, run_nightly, run_undated
 from roomtide.plans.retention import drop_expired, expired_months, retained
 from roomtide.sinks.archive import write_archive
 from roomtide.sinks.messages import append_jsonl, to_messages
@@ -198,6 +198,33 @@ def test_a_rerun_replaces_the_whole_day(spark, tmp_path, envelope):
     assert not list(Path(out, "silver").glob("*/year=*/month=*/day=*"))
 
 
+def test_a_rerun_that_fails_leaves_the_day_whole(spark, lake, tmp_path, monkeypatch):
+    root, env = lake
+    out = str(tmp_path / "out")
+    run_nightly(spark, root, DAY, out_root=out)
+    tables = [t for t in ("gifts", "likes", "comments", "room_viewers", "product_pins")]
+    before = {t: rows(read_nightly(spark, out, t)) for t in tables}
+    written = []
+
+    def failing(df, path):
+        if len(written) == 2:
+            raise OSError("lost")
+        written.append(path)
+        write_day(df.limit(1), path)
+
+    with monkeypatch.context() as broken:
+        broken.setattr("roomtide.plans.nightly.write_day", failing)
+        with pytest.raises(OSError):
+            run_nightly(spark, root, DAY, out_root=out)
+    assert len(written) == 2 and {t: rows(read_nightly(spark, out, t)) for t in tables} == before
+    run_nightly(spark, root, DAY, out_root=out)
+    assert {t: rows(read_nightly(spark, out, t)) for t in tables} == before
+    runs = {p.name for p in Path(out, "silver").glob("*/year=*/month=*/day=*/run=*")}
+    assert runs == {f"run={published(spark, out, DAY)['run']}"}
+    assert rows(read_nightly(spark, out, "gifts", days=[DAY])) == before["gifts"]
+    assert read_nightly(spark, out, "gifts", days=["2024-01-06"]).count() == 0
+
+
 def test_messages_with_line_breaks_come_back(spark, tmp_path):
     pretty = '{\n "streamer": "s",\r\n "category": "npc", "event_type": "like",\n "received_at": "2024-01-01T00:00:00Z", "data": {"batch_count":\n 4}}'
     odd = ['"quoted"', 'broken\n{"a":', '"open\r', '{"received_at":"2024-01-01T00:00:00Z"', "plain \\n text"]
@@ -223,9 +250,7 @@ def test_the_registered_jobs_archive_every_message_and_run_every_day(spark, monk
     monkeypatch.setattr(spark_queries, "run_nightly", lambda s, lake, day, **more: ran.append(day) or s.range(0).selectExpr("'' as date", "'' as item", "0 as rows"))
     everything = rows(to_messages(bronze(spark, SF_DIR)))
     spark_queries.nightly_of(spark, SF_DIR)
+    assert ran == [f"2024-01-{k:02}" for k in range(1, 31)] + [DAY.replace("05", "06")]
     spark_queries.nightly_dry_run(spark, SF_DIR)
     assert rows(archived[0]) == rows(archived[2]) == everything
     assert len(archived) == 3 and 0 < archived[1].count() < len(everything)
-    ran.clear()
-    spark_queries.every_night_of(spark, SF_DIR)
-    assert ran == [f"2024-01-{k:02}" for k in range(1, 31)] + [DAY.replace("05", "06")]

@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -134,12 +135,32 @@ def test_old_registry_versions_go(spark, tmp_path):
     log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts"))
     root = str(tmp_path / "registry")
     for batch in range(4):
-        advance(log.where(F.col("seq") % 4 == batch), batch, root, keep=2)
-    assert sorted(os.listdir(root)) == ["version=2", "version=3"]
+        advance(log.where(F.col("seq") % 4 == batch), batch, root, keep=2, buckets=4)
+    assert sorted(n for n in os.listdir(f"{root}/_manifests") if n.isdigit()) == ["2", "3"]
+    used = {(b, n) for v in (2, 3) for b, n in json.loads((tmp_path / "registry" / "_manifests" / str(v)).read_text())["written"].items()}
+    assert {(p.name.removeprefix("bucket="), int(p.parent.name.removeprefix("batch="))) for p in tmp_path.glob("registry/batch=*/bucket=*")} == used
     with pytest.raises(ValueError):
         advance(log, 4, root, keep=1)
 
 
+def test_a_batch_of_one_creator_writes_one_bucket(spark, tmp_path):
+    log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts")).cache()
+    root = tmp_path / "registry"
+    assert len(advance(log, 0, str(root), buckets=16)) > 8
+    before = {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+    one = log.groupBy("handle").count().orderBy(F.desc("count")).first().handle
+    more = log.where(F.col("handle") == one).withColumn("seq", F.col("seq") + 10**9)
+    assert len(advance(more, 1, str(root), buckets=99)) == 1
+    assert len(list(root.glob("batch=1/bucket=*"))) == 1
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    assert rows(read_latest(spark, str(root))) == rows(fold_registry(more, fold_registry(log)))
+    # Unknown creators change nothing, and a batch without events has a version too.
+    unknown = log.limit(1).withColumns({"handle": F.lit("nobody"), "op": F.lit("offline")})
+    for batch, events in ((2, unknown), (3, unknown.limit(0))):
+        advance(events, batch, str(root))
+        assert rows(read_version(spark, str(root), batch)) == rows(read_version(spark, str(root), 1))
+
+
 def test_registry_query(spark, tmp_path):
     log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts"))
     source = str(tmp_path / "in")
@@ -175,5 +196,5 @@ def test_the_latest_complete_version_is_read(spark, tmp_path):
     assert read_latest(spark, root) is None
     for batch in range(3):
         advance(log.where(F.col("seq") % 3 == batch), batch, root)
-    os.remove(f"{root}/version=2/_SUCCESS")
+    os.remove(f"{root}/_manifests/2")
     assert rows(read_latest(spark, root)) == rows(read_version(spark, root, 1))
