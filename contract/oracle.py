@@ -387,6 +387,7 @@ def oracle_sql() -> dict[str, str]:
         counts=HEARTBEAT_CTES["counts"],
     )
     sql["probation_gate"] = with_bronze(GATE, activity=ACTIVITY, daily=DAILY)
+    sql["probation_stream"] = sql["probation_gate"]
     sql["check_classifier"] = with_input(
         inputs.CHECKS, "select * exclude (op_outcome), op_outcome as outcome from c", c=CHECK_CTE
     )

@@ -34,6 +34,7 @@ from roomtide.sinks.messages import append_jsonl, to_messages
 from roomtide.sources.archive import archive_columns, read_all_days
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
+from roomtide.streaming import gate as stream_gate
 from roomtide.streaming import views
 from roomtide.streaming.heartbeat import read_heartbeat, start_heartbeat
 from roomtide.streaming.live import compact_live, read_live, read_quarantine, start_archive, start_live
@@ -274,6 +275,27 @@ def local_run(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+@job("gate-stream")
+def gate_stream_of(spark, sf_dir, root):
+    """Events and sessions in three parts, by time, through the streaming gate; then a message of a later time."""
+    envelope = bronze(spark, sf_dir)
+    messages = envelope.unionByName(stream_gate.control_messages(daily_sessions(envelope)))
+    at = event_time(F.col("received_at"))
+    later = spark.createDataFrame([(None, None, None, "tick", "2030-01-01T00:00:00Z", "{}")], ENVELOPE)
+    cuts = ["2000-01-01", "2024-01-11", "2024-01-21", "2029-01-01"]
+    parts = [messages.where((at >= F.lit(a)) & (at < F.lit(b))) for a, b in zip(cuts, cuts[1:])]
+    for part in [*parts, later]:
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(ENVELOPE).parquet(f"{root}/in")
+        stream_gate.start_gate(stream, f"{root}/out", f"{root}/checkpoint", seconds=GATE_SECONDS).awaitTermination()
+
+
+def probation_stream(spark, sf_dir):
+    root = gate_stream_of(spark, sf_dir)
+    decided = stream_gate.watermark(spark, f"{root}/checkpoint")
+    return stream_gate.verdicts(spark, f"{root}/out", decided, seconds=GATE_SECONDS)
+
+
 @job("registry-stream")
 def registry_stream_of(spark, sf_dir, root):
     """The log in three parts, each arriving after the one before has been folded."""
@@ -446,6 +468,7 @@ def queries():
         "heartbeat_breakdown": lambda s, d: telemetry.breakdown(telemetry.heartbeat(bronze(s, d))),
         "heartbeat_stream": heartbeat_stream,
         "probation_gate": probation_gate,
+        "probation_stream": probation_stream,
         "check_classifier": lambda s, d: checks.classify_checks(check_inputs(s, d)),
         "live_summary": lambda s, d: checks.live_summary(registry_state(s, d), check_inputs(s, d)),
         "registry_state": registry_state,

@@ -15,8 +15,11 @@ SESSION = ("streamer", "session_start", "session_end")
 HOUR = 3600
 
 
-def activity(envelope: DataFrame) -> DataFrame:
-    """The numbers the session operators need, one parse per event, NULL where they do not apply."""
+def activity(envelope: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The numbers the session operators need, one parse per event, NULL where they do not apply.
+
+    ``keep`` names further columns of the input that stay, such as one with a watermark.
+    """
     keys = [
         "unique_id", "user", "gift_name", "diamond_count", "repeat_count", "streaking", "usd_value",
         "viewer_count", "batch_count", "total_room_likes",
@@ -32,6 +35,7 @@ def activity(envelope: DataFrame) -> DataFrame:
     repeat = F.coalesce(to_bigint(text("repeat_count")), F.lit(1))
     diamonds = F.coalesce(to_bigint(text("diamond_count")), F.lit(0))
     return parsed.select(
+        *keep,
         "streamer",
         "category",
         "event_type",
