@@ -5,12 +5,16 @@ meet seeds of the benchmark items; a hit aligns the text with the whole item. Th
 some window of 20 places (the whole item if it is shorter) at least 80 % of the words must be equal. So
 passages with substituted words are found and chance hits are not.
 
-Words are runs of letters and digits in lower case. Items of fewer words than the shortest mask spans are too
-short to tell and match nothing.
+From 17 words on, whichever fifth of a window's words is substituted, some mask has a hit. Items of 7 to 16 words
+also have three neighbouring words as a seed: so many substitutions as leave 80 % equal cannot touch all of an item's
+threes that do not overlap. Items of 1 to 6 words are one seed each and must stand in the text whole.
 
-Defined cases: null and empty texts and items match nothing; repeated rows are each judged; rows with
-a null doc_id or a repeated one are told apart by their text; empty tables give an empty result; only doc_id
-and text (item_id and text) are read, and only hits' columns are added.
+Words are runs of letters and digits in lower case.
+
+Defined cases: null and empty texts and items, and those without words, match nothing; repeated rows are each judged;
+rows with a null doc_id or a repeated one are told apart by their text; items with a null item_id count as others do;
+items of one item_id (or none) with several texts are each compared, and the best alignment is given; empty tables give an
+empty result; only doc_id and text (item_id and text) are read, and only hits' columns are added.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from roomtide.llm.jaccard import text_key
 MASKS = ("1111011", "110110011", "1010110101", "11001010011")
 WINDOW = 20
 LEAST_EQUAL = 0.8
+WHOLE_BELOW = 7  # items of fewer words must be found whole
+THREES_BELOW = 17  # items of fewer words also have seeds of three neighbouring words
 BROADCAST_SEEDS = 1_000_000  # 32 bytes each: some tens of MB as a hash table; beyond it a shuffled join
 
 
@@ -31,20 +37,30 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(at: Column, hashes: Column) -> Column:
-    """The hashes of all masks laid at one place. At a text's end, what is left of a mask matches no whole one."""
+def _kinds(lengths: list[int]) -> dict[int, str]:
+    """The masks that items of these numbers of words need, by the number that goes into their seeds."""
+    kinds = dict(enumerate(MASKS))
+    if any(WHOLE_BELOW <= n < THREES_BELOW for n in lengths):
+        kinds[len(MASKS)] = "111"
+    return kinds | {len(MASKS) + n: "1" * n for n in lengths if 0 < n < WHOLE_BELOW}
+
+
+def _seeds(at: Column, hashes: Column, kinds: dict[int, str]) -> Column:
+    """The seeds of all masks laid at one place, with the mask's number; null where a mask reaches beyond the words."""
     made = []
-    for number, mask in enumerate(MASKS):
+    for number, mask in kinds.items():
         places = [F.get(hashes, at + k) for k, bit in enumerate(mask) if bit == "1"]
-        made.append(F.xxhash64(F.lit(number), *places))
-    return F.array(*made)
+        fits = at + len(mask) <= F.size(hashes)
+        made.append(F.when(fits, F.struct(F.lit(number).alias("mask"), F.xxhash64(F.lit(number), *places).alias("seed"))))
+    return F.array_compact(F.array(*made))
 
 
-def _laid(rows: DataFrame) -> DataFrame:
-    """A row for each place and mask: the columns, ``at`` and ``seed``."""
-    span = min(map(len, MASKS))
+def _laid(rows: DataFrame, kinds: dict[int, str]) -> DataFrame:
+    """A row for each place and mask: the columns, ``at``, ``mask`` and ``seed``."""
+    span = min(map(len, kinds.values()))
     places = F.when(F.size("hashes") >= span, F.sequence(F.lit(0), F.size("hashes") - span))
-    return rows.withColumn("at", F.explode(places)).withColumn("seed", F.explode(_seeds(F.col("at"), F.col("hashes"))))
+    laid = rows.withColumn("at", F.explode(places)).withColumn("laid", F.explode(_seeds(F.col("at"), F.col("hashes"), kinds)))
+    return laid.withColumns({"mask": F.col("laid.mask"), "seed": F.col("laid.seed")}).drop("laid")
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -53,30 +69,33 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"),
         word_hashes(F.col("text")).alias("hashes"),
     )
-    bench = items.select(F.col("item_id").cast("long").alias("item_id"), word_hashes(F.col("text")).alias("hashes"))
-    # A mask that does not fit into the item would be a part of one: leave those out.
-    spans = F.array(*[F.lit(len(m)) for m in MASKS])
+    bench = items.select(
+        F.col("item_id").cast("long").alias("item_id"), text_key(F.col("text")).alias("item_key"), word_hashes(F.col("text")).alias("hashes")
+    ).filter(F.size("hashes") > 0).dropDuplicates(["item_id", "item_key"])
+    short = bench.filter(F.size("hashes") < THREES_BELOW).select(F.size("hashes").alias("n")).distinct()
+    kinds = _kinds(sorted(r.n for r in short.collect()))  # at most 16 numbers
+    words, mask = F.size("hashes"), F.col("mask")
+    whole = (words < WHOLE_BELOW) & (mask == words + len(MASKS))
+    three = (words >= WHOLE_BELOW) & (words < THREES_BELOW) & (mask == len(MASKS))
     seeds = (
-        bench.filter(F.size("hashes") >= min(map(len, MASKS)))
-        .withColumn("at", F.explode(F.sequence(F.lit(0), F.size("hashes") - min(map(len, MASKS)))))
-        .select("item_id", F.size("hashes").alias("words"), "at", F.posexplode(_seeds(F.col("at"), F.col("hashes"))).alias("mask", "seed"))
-        .filter(F.col("at") + F.get(spans, F.col("mask")) <= F.col("words"))
-        .select("seed", F.col("item_id"), F.col("at").alias("item_at"), "words")
+        _laid(bench, kinds).filter((mask < len(MASKS)) & (words >= WHOLE_BELOW) | three | whole)
+        .select("seed", "item_key", F.col("at").alias("item_at"), words.alias("words"))
+        .distinct()
     )
     if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
     start = F.col("at") - F.col("item_at")  # the text's place under the item's first word; may be negative
     hits = (
-        _laid(texts)
+        _laid(texts, kinds)
         .join(seeds, "seed")
         .select(
-            "doc_id", "text_key", "item_id", start.alias("start"),
+            "doc_id", "text_key", "item_key", start.alias("start"),
             F.slice("hashes", F.greatest(start, F.lit(0)) + 1, F.col("words") + F.least(start, F.lit(0))).alias("piece"),
         )
-        .groupBy("doc_id", "text_key", "item_id", "start")
+        .groupBy("doc_id", "text_key", "item_key", "start")
         .agg(F.first("piece").alias("piece"))
     )
-    aligned = hits.join(bench.filter(F.size("hashes") > 0), "item_id")
+    aligned = hits.join(bench, "item_key")
     skipped = F.greatest(-F.col("start"), F.lit(0))
     equal = F.transform(
         F.sequence(F.lit(0), F.size("hashes") - 1),
@@ -91,13 +110,15 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
             lambda k: F.aggregate(F.slice("equal", k, compared), F.lit(0), lambda a, e: a + e),
         )
     )
-    return (
+    share = F.when(F.col("compared") < WHOLE_BELOW, 1.0).otherwise(LEAST_EQUAL)
+    found = (
         aligned.select("doc_id", "text_key", "item_id", equal.alias("equal"))
         .select("doc_id", "text_key", "item_id", best.alias("equal"), compared.alias("compared"))
-        .filter(F.col("equal") >= LEAST_EQUAL * F.col("compared"))
-        .groupBy("doc_id", "text_key", "item_id")
-        .agg(F.max("equal").alias("equal"), F.first("compared").alias("compared"))
+        .filter(F.col("equal") >= share * F.col("compared"))
     )
+    order = F.struct((F.col("equal") / F.col("compared")).alias("share"), "equal", "compared")
+    found = found.groupBy("doc_id", "text_key", "item_id").agg(F.max(order).alias("best"))
+    return found.select("doc_id", "text_key", "item_id", F.col("best.equal").alias("equal"), F.col("best.compared").alias("compared"))
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -243,7 +243,11 @@ def one_of_each_class(docs: DataFrame, width: int = 5, percent: int = 80, text:
     gone = judged.filter(~F.col("stays")).select("_id", "_key")
     repeated = judged.filter(F.col("stays") & (F.col("n") > 1)).select("_id", "_key")
     gone, repeated = (F.broadcast(p) if p.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else p for p in (gone, repeated))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (text_key(docs[text]) == F.col("_key"))
-    left = docs.join(gone, same, "left_anti")
-    alone = left.join(repeated, same, "left_anti")
-    return alone.unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", text]))
+
+    def same(other: DataFrame):
+        """Both sides by name of their table: the documents may have any columns of their own."""
+        return docs["doc_id"].cast("long").eqNullSafe(other["_id"]) & (text_key(docs[text]) == other["_key"])
+
+    left = docs.join(gone, same(gone), "left_anti")
+    alone = left.join(repeated, same(repeated), "left_anti")
+    return alone.unionByName(left.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", text]))

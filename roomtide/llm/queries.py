@@ -43,8 +43,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    return preferences.format_pairs(preferences.neighbour_pairs(turns), turns)
+    return preferences.reply_pairs(table(spark, sf_dir, "conversations"))
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,19 +100,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def reply_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preferences.reply_pairs(table(spark, sf_dir, "conversations"))
-
-
-def more_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Further queries of an operator that has its own above."""
-    return {"reply_preferences": reply_preferences}
-
-
 def oracle_sql() -> dict[str, str]:
     return {
-        "op4_preferences": preferences.ORACLE_SQL,
-        "reply_preferences": preferences.REPLY_SQL,
+        "op4_preferences": preferences.REPLY_SQL,
         "op12_prefix_trie": prefix_trie.ORACLE_SQL,
         "op13_repair": repair.ORACLE_SQL,
     }

@@ -271,7 +271,7 @@ def test_every_conversation_has_a_pair_with_a_shared_prompt(spark, rows):
 
 def test_queries_are_registered():
     names = sorted(queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
 
 
 def write(spark, folder, tables):

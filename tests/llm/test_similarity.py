@@ -1,7 +1,9 @@
 """Jaccard join, components, fingerprints, decontamination and sharding against brute force."""
 
 import collections
+import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -79,8 +81,9 @@ def test_no_rows_no_classes(docs):
 
 def test_one_of_each_class_stays(docs):
     rows = corpus(3)
-    kept = one_of_each_class(docs(rows))
-    assert kept.columns == docs(rows).columns
+    clashing = docs(rows).withColumns({"_id": F.lit(1), "_key": F.lit("k"), "component": F.lit(0)})
+    kept = one_of_each_class(clashing)
+    assert kept.columns == clashing.columns
     found = classes(rows, 5, 80)
     wordless = collections.Counter((i, t) for (i, t), (_, n, _) in zip(rows, found) if n == 0)
     first = {(c, ) if c is not None else t for (i, t), (_, n, c) in zip(rows, found) if n}
@@ -197,6 +200,51 @@ def test_decontamination(docs, spark):
     assert decontamination.contaminated(docs([]), bench).count() == 0
 
 
+def plain_matches(text, item):
+    """Every alignment of an item with a text: is there a window (or the whole of a short item) with enough equal words?"""
+    words, wanted = (re.findall(r"[^\W_]+", (t or "").lower()) for t in (text, item))
+    width = min(20, len(wanted))
+    for start in range(-len(wanted) + 1, len(words)) if wanted else ():
+        equal = [0 <= start + k < len(words) and words[start + k] == w for k, w in enumerate(wanted)]
+        if max(sum(equal[k : k + width]) for k in range(len(wanted) - width + 1)) >= (1 if len(wanted) < 7 else 0.8) * width:
+            return True
+    return False
+
+
+def test_decontamination_equals_all_alignments(docs, spark):
+    rng = random.Random(16)
+    small = lambda n: " ".join(rng.choice("abcdefghijklmnop") + rng.choice("xyz") for _ in range(n))
+    items = [(100 + n, small(n)) for n in range(1, 24)]
+    items += [(7, small(9)), (7, small(12)), (None, small(15)), (None, small(8)), (300, None), (301, "?!"), (302, "")]
+    rows = ODD + [(1000 + k, small(60)) for k in range(30)]
+    for k in range(400):
+        item = rng.choice(items)[1] or ""
+        words = item.split()
+        for at in rng.sample(range(len(words)), min(len(words), rng.choice([0, 1, 1, len(words) // 5, len(words) // 5 + 1]))):
+            words[at] = "other"
+        cut = rng.choice([0, 0, 0, len(words) // 4])
+        rows.append((2000 + k, " ".join([small(rng.choice([0, 0, 9])), *words[cut:], small(rng.choice([0, 7]))])))
+    bench = spark.createDataFrame([(*i, "x") for i in items + items[:3]], "item_id long, text string, HASHES string")
+    got = decontamination.contaminated(docs(rows), bench).collect()
+    expected = {(i, n, t) for i, t in rows for n, item in items if plain_matches(t, item)}
+    texts = collections.defaultdict(set)
+    for i, t in rows:
+        texts[i].add(t)
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert found == {(i, n) for i, n, _ in expected} and len(got) == len({(r.doc_id, r.text_key, r.item_id) for r in got})
+    kept = decontamination.without_benchmark(docs(rows), bench)
+    leaking = {(i, t) for i, _, t in expected}
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(str(r) for r in rows if r not in leaking)
+
+
+def test_masks_lose_no_substitution_from_17_words_on():
+    masks = decontamination.MASKS
+    for count, swapped in ((17, 3), (18, 3), (19, 3), (20, 4)):
+        for gone in itertools.combinations(range(count), swapped):
+            laid = (at + k for m in masks for at in range(count - len(m) + 1) if not any(b == "1" and at + k in gone for k, b in enumerate(m)) for k in (0,))
+            assert next(laid, None) is not None
+
+
 def test_decontamination_without_broadcast(docs, spark, monkeypatch):
     rng = random.Random(13)
     bench = spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string")
@@ -217,6 +265,44 @@ def test_differencing_beats_the_bound():
     assert sums.max() - sums.min() < 20
 
 
+def test_shards_are_even_however_many_parts(docs, spark, monkeypatch):
+    rng = random.Random(17)
+    sizes = [int(40 * rng.random() ** -1.2) for _ in range(900)]
+    rows = [(k, "x" * min(n, 6000) + str(k)) for k, n in enumerate(sizes)] + [(2000 + k, "copy " * 30) for k in range(40)]
+    df = docs(rows).cache()
+
+    def spread(**more):
+        totals = collections.Counter()
+        for r in sharding.shard_rows(df, 8, **more).collect():
+            totals[r.shard] += r.size
+        return (max(totals.values()) - min(totals.values())) / (sum(totals.values()) / 8)
+
+    whole = np.zeros((941, 8), np.int64)
+    whole[:, -1] = [*(len(t) + 1 for _, t in rows[:900]), 151 * 40, *[0] * 40]
+    _, plain = sharding.difference(whole[:901])
+    assert spread() == pytest.approx((plain.max() - plain.min()) / plain.mean())
+    for buckets in (2, 4, 30, 300):
+        assert spread(buckets=buckets) < 0.002
+    monkeypatch.setattr(sharding, "GROUPS_PER_BUCKET", 100)
+    found = []
+    for partitions in ("3", "17"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        found.append(sorted(map(tuple, sharding.shard_rows(df, 8).collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+def test_a_group_of_nearly_a_shard_is_made_up_for(docs):
+    rng = random.Random(18)
+    rows = [(k, "x" * rng.randrange(20, 60) + str(k)) for k in range(2000)] + [(5000, "y" * 11_000)]
+    for buckets, most in ((1, 0.001), (10, 0.01), (40, 0.03)):  # 50 groups in each of 40 buckets leave more uneven
+        totals = collections.Counter()
+        for r in sharding.shard_rows(docs(rows), 8, buckets=buckets).collect():
+            totals[r.shard] += r.size
+        assert max(totals.values()) - min(totals.values()) < most * max(totals.values())
+
+
 def test_shards(docs):
     rng = random.Random(15)
     rows = ODD + [(10 + k, prose(rng, rng.randrange(1, 60))) for k in range(400)] + [(500 + k, "copy of a text") for k in range(200)]
