@@ -108,6 +108,13 @@ select distinct concat('s', cast(user_id % 12 as string)) as username,
 from {T:events}
 """
 
+CONFIGURED = """
+select concat('n', cast(c_nationkey as string)) as category, c_custkey % 50 as document,
+ concat(case when c_custkey % 3 = 0 then ' @' else '' end,
+  case when c_custkey % 11 = 0 then '' else concat('Shop', cast(c_custkey as string)) end) as name
+from {T:customer}
+"""
+
 RAW_USERS = """
 select c_custkey, case when c_custkey % 11 = 0 then null else c_custkey end as id,
  case when c_custkey % 2 = 0 then null else concat('d', cast(c_custkey as string)) end as display_id,

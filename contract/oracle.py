@@ -12,6 +12,20 @@ RETENTION_NOW = "timestamp '2025-01-16 12:00:00'"
 TABLES = {
     "gift": "gifts", "comment": "comments", "like": "likes", "room_users": "room_viewers", "product_pin": "product_pins",
 }
+# The creators that a new registry begins with.
+SEEDS = (
+    ("manhuynn", "npc", "physical_challenge"),
+    ("milktea_girl2", "npc", "pk_battler"),
+    ("natuecoco", "npc", "pure_robotic"),
+    ("halinhofficial", "ecommerce", "beauty"),
+    ("maybelline_vn", "ecommerce", "beauty"),
+    ("lorealparis_vn", "ecommerce", "beauty"),
+    ("dirtycoins.vn", "ecommerce", "fashion"),
+    ("routine_vietnam", "ecommerce", "fashion"),
+    ("levents.vn", "ecommerce", "fashion"),
+    ("fptshop.official", "ecommerce", "tech"),
+    ("haidilaovietnam", "ecommerce", "food"),
+)
 TOPIC_PREFIX = "live.events."
 
 TS = "cast(cast(received_at as timestamptz) at time zone 'UTC' as timestamp)"
@@ -498,6 +512,24 @@ def oracle_sql() -> dict[str, str]:
     sql["live_stream_whales"] = with_input(
         inputs.LINES, whale("t", "unique_id"), **routed, t=typed_sql("gifts", "live", "env")
     )
+    sql["registry_snapshot"] = sql["registry_state"]
+    seeds = ", ".join(f"('{name}', '{category}', '{archetype}')" for name, category, archetype in SEEDS)
+    sql["configured_registry"] = with_input(
+        inputs.CONFIGURED,
+        f"""select username, category, archetype, 'seed' as source, 'candidate' as status from (values {seeds}) s(username, category, archetype)
+ union all select lower(ltrim(trim(name), '@')), category, 'general', 'config_seed', 'candidate' from src where ltrim(trim(name), '@') <> ''
+ union all select 'added_by_hand', 'npc', 'general', 'cli_manual', 'candidate'""",
+    )
+    sql["catalog_tables"] = with_bronze(
+        f"""select {TABLE_OF} as item, streamer, count(*) as n, max({TS}) as last_event from bronze
+ where event_type in ({', '.join(f"'{k}'" for k in KINDS)}) group by all"""
+    )
+    sql["distinct_stream"] = with_input(
+        inputs.LINES,
+        f"""select map([{', '.join(f"'{k}'" for k in TABLES)}], [{', '.join(f"'{t}'" for t in TABLES.values())}])[event_type] as item,
+ coalesce(streamer, '') as streamer, count(*) as n from env where event_type in ({', '.join(f"'{k}'" for k in TABLES)}) group by 1, 2""",
+        p=f"select value, {problem} as reason from (select distinct value from src) d", env=routed["env"],
+    )
     sql["live_view_whales"] = sql["live_stream_whales"]
     sql["live_view_streaks"] = with_input(inputs.LINES, streak("t"), **routed, t=typed_sql("gifts", "live", "env"))
     sql["live_view_verticals"] = with_input(

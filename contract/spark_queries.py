@@ -31,9 +31,13 @@ from roomtide.runtime import cut_lineage, shared_folder
 from roomtide.schemas import ENVELOPE, LOCAL_KINDS, REGISTRY_EVENTS, TABLES
 from roomtide.sinks.archive import write_archive
 from roomtide.sinks.messages import append_jsonl, to_messages
+from roomtide.sinks.registry_files import write_snapshot
+from roomtide.sinks.tables import materialise
 from roomtide.sources.archive import archive_columns, read_all_days
+from roomtide.sources.config_files import config_adds, read_config
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
+from roomtide.sources.registry_files import read_snapshot
 from roomtide.streaming import gate as stream_gate
 from roomtide.streaming import views
 from roomtide.streaming.heartbeat import read_heartbeat, start_heartbeat
@@ -296,6 +300,64 @@ def probation_stream(spark, sf_dir):
     return stream_gate.verdicts(spark, f"{root}/out", decided, seconds=GATE_SECONDS)
 
 
+def configured_registry(spark, sf_dir):
+    """Built-in creators, configuration documents of the customers by nation, and one creator added by hand."""
+    path = scratch(spark, "config")
+    listed = spark_input(spark, sf_dir, inputs.CONFIGURED)
+    documents = listed.groupBy("category", "document").agg(F.array_sort(F.collect_list("name")).alias("streamers"))
+    lines = documents.select(
+        F.to_json(F.struct(F.create_map("category", F.struct("streamers")).alias("categories"))).alias("value")
+    )
+    lines.write.text(path)
+    events = (
+        registry.seed_events(spark)
+        .unionByName(config_adds(read_config(spark, path, multi_line=False), first_seq=100))
+        .unionByName(registry.manual_add(spark, "@Added_By_Hand", "npc", seq=10**9))
+    )
+    return registry.fold_registry(events).select("username", "category", "archetype", "source", "status")
+
+
+def registry_snapshot(spark, sf_dir):
+    """The registry through the snapshot's documents and back."""
+    path = scratch(spark, "snapshot")
+    write_snapshot(registry_state(spark, sf_dir), path, per_document=100)
+    return read_snapshot(spark, path, multi_line=False)
+
+
+def catalog_tables(spark, sf_dir):
+    """The typed tables replaced twice in a catalog, read back by name."""
+    database = f"roomtide_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"create database {database} location '{scratch(spark, database)}'")
+    for _ in range(2):
+        names = materialise({t: silver(spark, sf_dir, t) for t in TABLES.values()}, database)
+    counted = [
+        spark.table(name).groupBy("streamer").agg(F.count(F.lit(1)).alias("n"), F.max("event_timestamp").alias("last_event"))
+        .withColumn("item", F.lit(table))
+        for name, table in zip(names, TABLES.values())
+    ]
+    return functools.reduce(DataFrame.unionByName, counted)
+
+
+@job("distinct")
+def distinct_of(spark, sf_dir, root):
+    """The damaged lines in two parts through the routing query; the second repeats a fifth of the first, twice."""
+    lines = spark_input(spark, sf_dir, inputs.LINES)
+    first, second = (lines.where(F.col("event_id") % 2 == part) for part in (0, 1))
+    again = first.where(F.col("event_id") % 5 == 0)
+    for part in (first.unionByName(again), second.unionByName(again)):
+        part.select("value").write.mode("append").text(f"{root}/in")
+        start_live(file_lines(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint", optional_dedup="30 days").awaitTermination()
+
+
+def distinct_stream(spark, sf_dir):
+    root = f"{distinct_of(spark, sf_dir)}/out"
+    counted = [
+        read_live(spark, root, table).groupBy("streamer").agg(F.count(F.lit(1)).alias("n")).withColumn("item", F.lit(table))
+        for table in TABLES.values()
+    ]
+    return functools.reduce(DataFrame.unionByName, counted)
+
+
 @job("registry-stream")
 def registry_stream_of(spark, sf_dir, root):
     """The log in three parts, each arriving after the one before has been folded."""
@@ -473,6 +535,10 @@ def queries():
         "live_summary": lambda s, d: checks.live_summary(registry_state(s, d), check_inputs(s, d)),
         "registry_state": registry_state,
         "registry_in_steps": registry_in_steps,
+        "registry_snapshot": registry_snapshot,
+        "configured_registry": configured_registry,
+        "catalog_tables": catalog_tables,
+        "distinct_stream": distinct_stream,
         "registry_state_max": lambda s, d: registry_state(s, d, "max"),
         "actionable_streamers": actionable,
         "candidate_listing": lambda s, d: registry.list_candidates(registry_state(s, d)),

@@ -50,16 +50,21 @@ def _finds(pairs: DataFrame, hosts: DataFrame) -> DataFrame:
     """(username, first, named): of every creator met by ``hosts``, known or not, the first meeting and the
     first one that tells more than ``general``; both as (seq, host, category, archetype).
 
-    ``hosts`` has one row per username. The category and archetype that a meeting gives are the host's.
+    ``hosts`` has one row per username. The category and archetype that a meeting gives are the host's. All meetings
+    are aggregated by number alone, which hashes; the texts of the few that decide are looked up afterwards.
     """
     finder = hosts.select(F.col("username").alias("host"), "category", "archetype")
     met = join_unique(pairs, finder, "host", ["opponent"]).withColumn(
         "given", _inherited(F.col("category"), F.coalesce("archetype", F.lit("general")))
     )
+    named = F.col("given") != "general"
+    numbers = met.groupBy("opponent").agg(F.min("seq").alias("first_seq"), F.min(F.when(named, F.col("seq"))).alias("named_seq"))
+    deciding = numbers.withColumn("seq", F.explode(F.array_distinct(F.array_compact(F.array("first_seq", "named_seq")))))
     meeting = F.struct("seq", "host", "category", F.col("given").alias("archetype"))
-    return met.groupBy(F.col("opponent").alias("username")).agg(
-        F.min(meeting).alias("first"), F.min(F.when(F.col("given") != "general", meeting)).alias("named")
-    )
+    texts = met.join(deciding, ["opponent", "seq"]).groupBy("opponent", "first_seq", "named_seq").agg(F.collect_list(meeting).alias("told"))
+    first = F.filter("told", lambda m: m["seq"] == F.col("first_seq"))
+    better = F.filter("told", lambda m: (m["seq"] == F.col("named_seq")) & (m["archetype"] != "general"))
+    return texts.select(F.col("opponent").alias("username"), F.array_min(first).alias("first"), F.array_min(better).alias("named"))
 
 
 def _source(host: Column) -> Column:

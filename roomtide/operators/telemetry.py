@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomtide.functions.casts import event_time
+from roomtide.runtime import cut_lineage
 from roomtide.schemas import TABLES
 
 EVERY = "5 minutes"
@@ -36,17 +37,19 @@ def heartbeat(envelope: DataFrame, every: str = EVERY, earliest: str = EARLIEST,
     Events before ``earliest`` or from ``latest`` on carry a broken clock and are left out
     (:func:`implausible`): they would stretch the calendar over centuries.
 
-    One scan: events shrink to (window, streamer), then to windows. Running sums and the quiet windows are made
-    day by day, each day by itself; what goes over all days has one row per day.
+    One scan: events shrink to (window, streamer), then to windows, which are written to the checkpoint folder, since
+    three parts of the result need them. Running sums and the quiet windows are made day by day, each day by itself; what
+    goes over all days has one row per day.
     """
     micros = F.unix_micros(F.lit("1970-01-01T00:00:00Z").cast("timestamp") + F.expr(f"interval {every}"))
     start = F.unix_micros(F.window("ts", every).getField("start")).alias("at")
-    timed = timed_events(envelope).where(_plausible(earliest, latest))
+    timed = plausible(timed_events(envelope), earliest, latest)
     per_streamer = timed.groupBy(start, "streamer").agg(*_counts(), F.min("ts").alias("first_ts"))
     sums = ("events", *TABLES)
     per_window = per_streamer.groupBy("at").agg(
         F.count("streamer").alias("active"), *[F.sum(c).alias(c) for c in sums], F.min("first_ts").alias("first_ts")
     ).withColumn("day", F.floor(F.col("at") / DAY))
+    per_window = cut_lineage(per_window)
     per_day = per_window.groupBy("day").agg(
         *[F.sum(c).alias(c) for c in sums], F.min("first_ts").alias("first_ts"), F.min("at").alias("from"), F.max("at").alias("until")
     )
@@ -85,6 +88,11 @@ def _plausible(earliest: str, latest: str) -> Column:
     return (F.col("ts") >= F.lit(earliest).cast("timestamp")) & (F.col("ts") < F.lit(latest).cast("timestamp"))
 
 
+def plausible(timed: DataFrame, earliest: str = EARLIEST, latest: str = LATEST) -> DataFrame:
+    """Events whose clock lies in the heartbeat's calendar; the same for batch and stream."""
+    return timed.where(_plausible(earliest, latest))
+
+
 def implausible(envelope: DataFrame, earliest: str = EARLIEST, latest: str = LATEST) -> DataFrame:
     """Events whose readable time lies outside the heartbeat's calendar."""
     return timed_events(envelope).where(~_plausible(earliest, latest))

@@ -11,22 +11,22 @@ from roomtide.schemas import REGISTRY
 
 _RECORD = (
     "struct<username:string,category:string,archetype:string,source:string,discovered_at:string,"
-    "status:string,cooldown_until:string,blacklist_reason:string,"
+    "status:string,cooldown_until:string,blacklist_reason:string,first_seq:bigint,"
     "stats:struct<total_sessions:bigint,peak_viewers:bigint,total_diamonds_seen:bigint,"
     "last_live:string,last_checked:string>>"
 )
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A snapshot of the form {"streamers": {username: record}}; the seeds when it is not there or not
     readable, and an empty pool when a readable one has no streamers.
 
-    One JSON document is one task by nature; larger registries use :func:`read_registry`. Times that
-    cannot be read are NULL, so such a cooldown counts as over.
+    One JSON document is one task by nature; with ``multi_line=False`` there is one on each line, as ``write_snapshot``
+    writes them. Times that cannot be read are NULL, so such a cooldown counts as over.
     """
     schema = f"streamers map<string,{_RECORD}>, _corrupt_record string"
     try:
-        document = spark.read.option("multiLine", True).schema(schema).json(path)
+        document = spark.read.option("multiLine", multi_line).schema(schema).json(path)
         # Both columns are asked for, since Spark refuses a query of the corrupt column alone.
         usable = document.agg(F.count_if(F.col("_corrupt_record").isNull()), F.count("streamers")).first()[0] > 0
     except AnalysisException as problem:
@@ -35,13 +35,15 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
         usable = False
     if not usable:
         return fold_registry(seed_events(spark))
-    records = document.select(F.posexplode("streamers").alias("first_seq", "username", "r"))
+    records = document.select(F.posexplode("streamers").alias("place", "username", "r"))
     times = {"discovered_at", "cooldown_until", "last_live", "last_checked"}
     stats = {"total_sessions", "peak_viewers", "total_diamonds_seen", "last_live", "last_checked"}
     columns = []
     for field in REGISTRY.fields:
-        if field.name in ("username", "first_seq"):
-            column = F.col(field.name)
+        if field.name == "username":
+            column = F.col("username")
+        elif field.name == "first_seq":
+            column = F.coalesce("r.first_seq", "place")
         else:
             column = F.col(f"r.stats.{field.name}" if field.name in stats else f"r.{field.name}")
         if field.name in times:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roomtide.operators.telemetry import EVERY, timed_events, window_counts
+from roomtide.operators.telemetry import EVERY, plausible, timed_events, window_counts
 from roomtide.schemas import TABLES
 
 
 def count_batch(envelope: DataFrame, batch_id: int, root: str, every: str = EVERY) -> None:
     """The windows that a micro-batch touches, in a folder of the batch that a replay replaces."""
-    counts = window_counts(timed_events(envelope), every)
+    counts = window_counts(plausible(timed_events(envelope)), every)
     (
         counts.select(F.col("window.start").alias("window_start"), "events", *TABLES, F.lit(batch_id).alias("batch_id"))
         .write.mode("overwrite")
@@ -25,7 +25,7 @@ def count_batch(envelope: DataFrame, batch_id: int, root: str, every: str = EVER
 def start_heartbeat(envelope: DataFrame, root: str, checkpoint: str, every: str = EVERY,
                     trigger: str | None = None) -> StreamingQuery:
     """Count a stream of envelopes. Each batch stores its own counts and no state is kept, so no event is
-    too late and a clock in the future shuts nobody out."""
+    too late and a clock in the future shuts nobody out. Implausible clocks are left out as over the whole."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         count_batch(batch, batch_id, root, every)

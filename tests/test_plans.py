@@ -10,7 +10,8 @@ from roomtide.runtime import cut_lineage, shared_folder
 # These run jobs while they are built; the job tests look at them.
 JOBS = {
     "archived_days", "nightly_slice", "live_routing", "live_stream_whales", "nightly_run", "nightly_quarantine", "local_run",
-    "registry_stream", "archive_stream", "pipeline",
+    "registry_stream", "archive_stream", "pipeline", "live_view_whales", "live_view_streaks", "live_view_verticals",
+    "live_retention", "probation_stream", "registry_snapshot", "catalog_tables", "distinct_stream",
 }
 
 
@@ -30,6 +31,7 @@ def test_the_named_checkpoint_folder_is_used(spark):
 
 @pytest.mark.parametrize("name", [
     "session_summary", "probation_gate", "heartbeat_rollup", "event_overview", "registry_state", "registry_state_max",
+    "spider_registry", "spider_discoveries",
 ])
 def test_event_aggregates_hash(name, spark):
     assert "SortAggregate" not in plan_of(contract.queries()[name](spark, SF_DIR))

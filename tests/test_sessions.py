@@ -10,6 +10,7 @@ from roomtide.operators.gate import probation_events, qualify
 from roomtide.operators.joins import events_within
 from roomtide.operators.sessions import carry_like_total, derive_sessions, session_summary, session_top
 from roomtide.operators.telemetry import breakdown, heartbeat, implausible
+from roomtide.streaming.heartbeat import count_batch, read_heartbeat
 
 START = datetime(2024, 1, 1)
 
@@ -200,6 +201,23 @@ def test_heartbeat_is_not_stretched_by_broken_clocks(envelope):
     assert heartbeat(env.limit(0)).count() == 0
 
 
+def test_batch_and_stream_heartbeat_leave_out_the_same(spark, envelope, tmp_path):
+    env = envelope(*[event("gift", "{}", at=at) for at in ("1999-12-31T23:59:59Z", "2000-01-01T00:00:00Z", "2024-01-01T00:00:00Z", "2100-01-01T00:00:00Z")])
+    count_batch(env, 0, str(tmp_path / "h"))
+    streamed = read_heartbeat(spark, str(tmp_path / "h"))
+    assert sorted(r.window_start.year for r in streamed.collect()) == [2000, 2024] and streamed.agg({"events": "sum"}).first()[0] == 2
+    near = env.where("received_at > '2020'")
+    assert heartbeat(near).agg({"total_events": "max"}).first()[0] == 1
+
+
+def test_heartbeat_scans_its_input_once(spark, envelope, tmp_path):
+    path = str(tmp_path / "env")
+    envelope(gift(10), gift(700)).write.parquet(path)
+    jobs = spark.read.parquet(path)
+    assert plan_of(heartbeat(jobs)).count("FileScan") == 0  # the windows have been written; nothing else is scanned
+    assert heartbeat(jobs).count() == 3
+
+
 def test_heartbeat_windows_need_not_divide_a_day(envelope):
     env = envelope(*[event("gift", "{}", at=f"2024-01-0{d}T05:00:00Z") for d in (1, 2, 3)])
     for every, seconds in (("7 minutes", 420), ("2 days", 172_800)):
