@@ -6,7 +6,7 @@ doc_id order and each run of whole documents becomes a segment, one row of a Par
 
 Format: ``codes`` holds the code length of every id. ``segments`` holds part (ascending doc_id), segment (ascending
 within the part), doc_ids, n_tokens (of each document, its end id included), bits (the codes, first bit highest
-in each 64-bit big-endian word) and checkpoints: the bit offset of every 1024th id, so that each block of 1024
+in each 64-bit big-endian word) and checkpoints: the bit offset of every 256th id, so that each block of 256
 ids can be read by itself. Reading looks up the next 20 bits of each block in one table of 2^20 entries, all
 blocks of a segment side by side.
 
@@ -32,15 +32,17 @@ from roomtide.llm.bpe import byte_alphabet
 from roomtide.llm.support import Memo, column_rows, scratch, ship, stored
 
 LONGEST_CODE = 20
-BLOCK_IDS = 1024
+BLOCK_IDS = 256
 SEGMENT_IDS = 1 << 18
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 60_000
+REMEMBERED_PIECES = 600_000
 
 # The vocabulary's pattern, with its classes written out for texts of Latin letters.
 SPACES = "\t-\r \x85\xa0"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 LATIN_END = "\u0250"
+SPACE_AFTER_SPACE = [c + " " for c in "\t\n\v\f\r \x85\xa0"]
 WORD = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
@@ -48,10 +50,12 @@ WORD = re.compile(
 
 
 class WordEncoder:
-    """The library's encoder, with the ids of frequent words remembered.
+    """The library's encoder, with the ids of frequent words and of frequent pieces between spaces remembered.
 
-    The vocabulary never merges across the words of its pattern, so the words' ids are the text's. Texts with
-    characters beyond the Latin ones or with special tokens are left to the library whole.
+    The vocabulary never merges across the words of its pattern, so the words' ids are the text's. A space after a
+    visible character begins a word of the pattern, so the pieces between such spaces are encoded apart, each with the
+    space before it. Texts where a space follows white space are matched whole; texts with characters beyond the Latin
+    ones or with special tokens are left to the library. Ids are little-endian, of two bytes if the vocabulary's fit.
     """
 
     def __init__(self, path: str):
@@ -59,19 +63,43 @@ class WordEncoder:
         self.model = self.library.model
         added = self.library.get_added_tokens_decoder()
         self.special = [token.content for token in added.values()]
-        self.alphabet = byte_alphabet()
-        self.words = Memo(self._word, REMEMBERED_WORDS)
+        alphabet = byte_alphabet()
+        self.shown = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(ord(LATIN_END))}
         self.size = self.library.get_vocab_size()
+        self.kind, self.code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
+        self.words = Memo(self._word, REMEMBERED_WORDS)
+        self.pieces = Memo(self._piece, REMEMBERED_PIECES)
 
     def _word(self, word: str) -> bytes:
-        shown = "".join([self.alphabet[b] for b in word.encode()])
-        ids = [token.id for token in self.model.tokenize(shown)]
-        return pack(f"<{len(ids)}I", *ids)
+        ids = [token.id for token in self.model.tokenize(word.translate(self.shown))]
+        return pack(f"<{len(ids)}{self.code}", *ids)
+
+    def _matched(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, WORD.findall(text)))
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a space and the piece; words of letters alone are remembered as pieces, the rest as words."""
+        if piece.isalpha():
+            return self._word(" " + piece)
+        found = WORD.findall(" " + piece)
+        return b"".join([self.pieces[w[1:]] if w[0] == " " and w[1:].isalpha() else self.words[w] for w in found])
 
     def __call__(self, text: str) -> bytes:
-        if (text.isascii() or max(text) < LATIN_END) and not any(s in text for s in self.special):
-            return b"".join(map(self.words.__getitem__, WORD.findall(text)))
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if not latin(text) or any(s in text for s in self.special):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        if any(pair in text for pair in SPACE_AFTER_SPACE):
+            return self._matched(text)
+        first, *rest = text.split(" ")
+        return self._matched(first) + b"".join(map(self.pieces.__getitem__, rest))
+
+
+def latin(text: str) -> bool:
+    """Whether all characters lie below ``LATIN_END``; most texts are told by a conversion that needs no loop."""
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return max(text) < LATIN_END
 
 
 @lru_cache(maxsize=2)
@@ -175,10 +203,10 @@ def unpack_ids(bits: bytes, checkpoints: np.ndarray, count: int, table: np.ndarr
 def _id_table(docs: DataFrame, path: str, end: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
-        kind = "<u2" if encoder.size <= 1 << 16 else "<u4"
+        kind = encoder.kind
         tail = np.array([end], kind).tobytes()
         for ids, texts in column_rows(batches, "doc_id", "text"):
-            raw = [np.frombuffer(encoder(t or ""), "<u4").astype(kind).tobytes() + tail for t in texts]
+            raw = [encoder(t or "") + tail for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(raw, pa.binary()),
                  pa.array([np.dtype(kind).itemsize] * len(raw), pa.int32())],

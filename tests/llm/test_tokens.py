@@ -31,6 +31,11 @@ def random_texts(n=400):
     return ["".join(chr(rng.randrange(*rng.choice(pools))) for _ in range(25)) for _ in range(n)]
 
 
+def random_spaces(n=400):
+    rng = random.Random(8)
+    return ["".join(rng.choice(" \n\t ab'1.é\xa0  ") for _ in range(rng.randrange(1, 20))) for _ in range(n)]
+
+
 def test_codec_equals_the_library(library):
     coder, known = bpe.BpeCodec(vocabulary("word_bpe_49k.json")), library["word_bpe_49k.json"]
     for text in TRICKY + random_texts() + [prose(random.Random(1), 300)]:
@@ -80,8 +85,9 @@ def test_ids_and_texts_as_columns(docs):
 
 def test_word_encoder_equals_the_library(library):
     encoder, known = huffman.WordEncoder(vocabulary("byte_bpe_50k.json")), library["byte_bpe_50k.json"]
-    for text in TRICKY + random_texts():
-        assert np.frombuffer(encoder(text), "<u4").tolist() == known.encode(text, add_special_tokens=False).ids
+    spaced = ["a  b", "a   b c", " a b ", "a \n b", "a\n b", "x \t y  ", "end.\nNext one. \nLast", "\xa0 a\x85 b", "a ' b 's c 1 ! é"]
+    for text in TRICKY + spaced + random_texts() + random_spaces() + [prose(random.Random(9), n) for n in (1, 2, 500)]:
+        assert np.frombuffer(encoder(text), encoder.kind).tolist() == known.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 60, 3000])
@@ -113,7 +119,9 @@ def test_lengths_are_optimal_where_the_limit_does_not_bind():
     assert limited.max() == huffman.LONGEST_CODE and (2.0 ** -limited.astype(float)).sum() <= 1
 
 
-def test_files_give_back_every_id(docs, library):
+@pytest.mark.parametrize("segment_ids", [huffman.SEGMENT_IDS, 500])
+def test_files_give_back_every_id(docs, library, monkeypatch, segment_ids):
+    monkeypatch.setattr(huffman, "SEGMENT_IDS", segment_ids)
     rng = random.Random(4)
     rows = ODD + [(10 + k, prose(rng, rng.randrange(1, 400))) for k in range(40)] + [(50, TRICKY[6])]
     got = huffman.round_trip(docs(rows), vocabulary("byte_bpe_50k.json")).orderBy("start").collect()
