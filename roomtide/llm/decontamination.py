@@ -37,30 +37,43 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _kinds(lengths: list[int]) -> dict[int, str]:
-    """The masks that items of these numbers of words need, by the number that goes into their seeds."""
-    kinds = dict(enumerate(MASKS))
+def _masks(lengths: list[int]) -> list[str]:
+    """The masks that items need: those of long ones, threes for items under 17 words, and one for each length under 7."""
+    masks = list(MASKS)
     if any(WHOLE_BELOW <= n < THREES_BELOW for n in lengths):
-        kinds[len(MASKS)] = "111"
-    return kinds | {len(MASKS) + n: "1" * n for n in lengths if 0 < n < WHOLE_BELOW}
+        masks.append("111")
+    return masks + ["1" * n for n in lengths if 0 < n < WHOLE_BELOW]
 
 
-def _seeds(at: Column, hashes: Column, kinds: dict[int, str]) -> Column:
-    """The seeds of all masks laid at one place, with the mask's number; null where a mask reaches beyond the words."""
+def _seeds(at: Column, hashes: Column, masks: list[str]) -> Column:
+    """The hashes of all masks laid at one place. At a text's end, what is left of a mask matches no whole one."""
     made = []
-    for number, mask in kinds.items():
+    for mask in masks:
         places = [F.get(hashes, at + k) for k, bit in enumerate(mask) if bit == "1"]
-        fits = at + len(mask) <= F.size(hashes)
-        made.append(F.when(fits, F.struct(F.lit(number).alias("mask"), F.xxhash64(F.lit(number), *places).alias("seed"))))
-    return F.array_compact(F.array(*made))
+        made.append(F.xxhash64(F.lit(mask), *places))
+    return F.array(*made)
 
 
-def _laid(rows: DataFrame, kinds: dict[int, str]) -> DataFrame:
-    """A row for each place and mask: the columns, ``at``, ``mask`` and ``seed``."""
-    span = min(map(len, kinds.values()))
+def _laid(rows: DataFrame, masks: list[str]) -> DataFrame:
+    """A row for each place and mask: the columns, ``at`` and ``seed``."""
+    span = min(map(len, masks))
     places = F.when(F.size("hashes") >= span, F.sequence(F.lit(0), F.size("hashes") - span))
-    laid = rows.withColumn("at", F.explode(places)).withColumn("laid", F.explode(_seeds(F.col("at"), F.col("hashes"), kinds)))
-    return laid.withColumns({"mask": F.col("laid.mask"), "seed": F.col("laid.seed")}).drop("laid")
+    return rows.withColumn("at", F.explode(places)).withColumn("seed", F.explode(_seeds(F.col("at"), F.col("hashes"), masks)))
+
+
+def _item_seeds(bench: DataFrame, masks: list[str]) -> DataFrame:
+    """(seed, item_key, item_at, words): the masks that an item of its length has, where they fit into it whole."""
+    words, mask, at = F.size("hashes"), F.get(F.array(*map(F.lit, masks)), F.col("number")), F.col("at")
+    long = (words >= WHOLE_BELOW) & (F.col("number") < len(MASKS))
+    three = (words >= WHOLE_BELOW) & (words < THREES_BELOW) & (mask == "111") & (F.col("number") == len(MASKS))
+    whole = (words < WHOLE_BELOW) & (F.length(mask) == words) & (F.col("number") >= len(MASKS))
+    placed = bench.withColumn("at", F.explode(F.sequence(F.lit(0), words - 1)))
+    laid = placed.select("*", F.posexplode(_seeds(at, F.col("hashes"), masks)).alias("number", "seed"))
+    return (
+        laid.filter((at + F.length(mask) <= words) & (long | three | whole))
+        .select("seed", "item_key", at.alias("item_at"), words.alias("words"))
+        .distinct()
+    )
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -73,20 +86,13 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.col("item_id").cast("long").alias("item_id"), text_key(F.col("text")).alias("item_key"), word_hashes(F.col("text")).alias("hashes")
     ).filter(F.size("hashes") > 0).dropDuplicates(["item_id", "item_key"])
     short = bench.filter(F.size("hashes") < THREES_BELOW).select(F.size("hashes").alias("n")).distinct()
-    kinds = _kinds(sorted(r.n for r in short.collect()))  # at most 16 numbers
-    words, mask = F.size("hashes"), F.col("mask")
-    whole = (words < WHOLE_BELOW) & (mask == words + len(MASKS))
-    three = (words >= WHOLE_BELOW) & (words < THREES_BELOW) & (mask == len(MASKS))
-    seeds = (
-        _laid(bench, kinds).filter((mask < len(MASKS)) & (words >= WHOLE_BELOW) | three | whole)
-        .select("seed", "item_key", F.col("at").alias("item_at"), words.alias("words"))
-        .distinct()
-    )
+    masks = _masks(sorted(r.n for r in short.collect()))  # at most 16 numbers
+    seeds = _item_seeds(bench, masks)
     if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
     start = F.col("at") - F.col("item_at")  # the text's place under the item's first word; may be negative
     hits = (
-        _laid(texts, kinds)
+        _laid(texts, masks)
         .join(seeds, "seed")
         .select(
             "doc_id", "text_key", "item_key", start.alias("start"),
