@@ -37,7 +37,7 @@ CONTROL = re.compile("[\x1c-\x1f]")
 PLAIN_LATIN = "\u0250"
 REMEMBERED_CHUNKS = 120_000
 REMEMBERED_WORDS = 250_000
-PLACES = 1 << 24
+PLACES = 1 << 32  # more than the longest text has
 
 
 def byte_alphabet() -> list[str]:

@@ -2,7 +2,9 @@
 
 1. Every page's containers are scored: the length of their own text blocks, less that of links, with half
    weight handed up for each level; containers that are menus, headers, footers, asides, forms, adverts, notices or
-   comments by tag, role, class or id score nothing, and nor does what they hold.
+   comments by tag, role, class or id score nothing, and nor does what they hold. A name rules out no container that
+   has most of a page's unlinked text (100 characters at least, or an article element) and five times as much as is left. Of an article's own header the
+   headlines and longer paragraphs count.
 2. A page votes for the path of its best container: tags with classes and ids from the body down, digits
    generalised; an article or main element around it stands for it, else the outermost container named as an
    article, and what then holds besides it only headings (plain text, too, where no name tells). Votes are counted for each host in Spark.
@@ -48,12 +50,15 @@ OUTSIDE = frozenset(
     "promo promos promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay "
     "newsletter subscribe subscription signup signin login share sharing social related recommended recommendations "
     "comment comments commentlist disqus respond reply replies discussion form search searchform toolbar pagination pager "
-    "contentinfo skip hidden".split()
+    "contentinfo skip hidden "
+    "menue seitenleiste fusszeile werbung anzeige anzeigen kommentar kommentare antworten teilen anmeldung suche "
+    "publicite pub commentaire commentaires partager recherche inscription "
+    "publicidad anuncio anuncios comentario comentarios compartir buscar registro".split()
 )
 # A class such as has-sidebar tells of a layout and not of the element.
 MODIFIERS = frozenset(["has", "with", "no", "without"])
 HEADER = frozenset(["header", "masthead"])
-ARTICLE = frozenset(["article", "post", "entry", "story"])
+ARTICLE = frozenset("article post entry story artikel beitrag articulo noticia".split())
 INSIDE = frozenset("article main content body post entry story text page".split())
 CLOSED_BY = {
     "p": frozenset(
@@ -68,6 +73,9 @@ HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 HANDED_UP = 0.5
 MOST_LINKED = 0.3  # of a plain block's text
+LEFT_OVER = 5  # a container ruled out by name comes back if it has this many times what is left
+LEAST_TEXT = 100  # characters, less than which no such container comes back
+LEAD = 60  # characters of a paragraph that belongs to the article though it stands in the article's header
 BROADCAST_VOTES = 1_000_000  # 16 bytes each in every Python worker; beyond it a shuffled join
 
 
@@ -89,27 +97,52 @@ def _step(tag: str, names: str) -> str:
 
 
 class Node:
-    __slots__ = ("tag", "path", "outside", "hint", "score", "parent", "header", "article", "named")
+    __slots__ = ("tag", "path", "dropped", "by_name", "outside", "hint", "score", "parent", "header", "article", "named", "held")
 
-    def __init__(self, tag: str, path: str, parent: Node | None, outside: bool, hint: float, header: bool, article: bool,
-                 named: bool = False):
-        self.tag, self.path, self.parent, self.outside, self.hint = tag, path, parent, outside, hint
+    def __init__(self, tag: str, path: str, parent: Node | None, dropped: bool, by_name: bool, hint: float, header: bool,
+                 article: bool, named: bool = False):
+        self.tag, self.path, self.parent, self.dropped, self.by_name, self.hint = tag, path, parent, dropped, by_name, hint
         self.header, self.article, self.named = header, article, named
-        self.score = 0.0
+        self.outside, self.score, self.held = False, 0.0, 0
 
 
 class Page(HTMLParser):
     """A page's text blocks in order, each under its innermost container."""
 
-    def __init__(self, html: str, by_name: bool = True):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.by_name = by_name
-        root = Node("", "", None, False, 0.0, False, False)
+        root = Node("", "", None, False, False, 0.0, False, False)
         self.stack, self.nodes, self.blocks = [root], [root], []
         self.pieces, self.linked, self.in_link, self.skipped = [], 0, 0, 0
         self.feed(html)
         self.close()
         self._end_block()
+        self._rule_out()
+
+    def _rule_out(self):
+        """Settle which containers are outside, and keep the other ones' blocks."""
+        for node, text, linked in self.blocks:
+            while node is not None:
+                node.held += len(text) - linked
+                node = node.parent
+        total, around = self.nodes[0].held, set()
+        for node in self.nodes:
+            while node.held and node.parent is not None and (node.tag in ("article", "main") or id(node) in around):
+                around.add(id(node))
+                node = node.parent
+                around.add(id(node))
+        while True:
+            for node in self.nodes[1:]:  # parents come first
+                node.outside = node.dropped or node.by_name or node.parent.outside
+            left = sum(len(text) - linked for node, text, linked in self.blocks if not node.outside)
+            named = [n for n in self.nodes[1:] if n.by_name and not n.dropped and not n.parent.outside]
+            largest = max(named, key=lambda n: n.held, default=None)
+            if largest is None or largest.held < LEFT_OVER * left or 2 * largest.held <= total:
+                break
+            if largest.held < LEAST_TEXT and id(largest) not in around:
+                break
+            largest.by_name = False
+        self.blocks = [block for block in self.blocks if not block[0].outside]
 
     def _end_block(self):
         if self.pieces:
@@ -126,7 +159,7 @@ class Page(HTMLParser):
                 self.in_link += 1
             if not any(n in ("hidden", "class", "id", "role", "style") for n, _ in attrs) or tag == "br":
                 return
-            if not self._outside(tag, attrs):
+            if not any(self._outside(tag, attrs)):
                 return
             # An inline element that is no part of the article is a container of its own.
         while len(self.stack) > 1 and tag in CLOSED_BY.get(self.stack[-1].tag, ()):
@@ -137,28 +170,30 @@ class Page(HTMLParser):
         parent = self.stack[-1]
         given = {n: v or "" for n, v in attrs if n in ("class", "id")}
         names = f"{given.get('class', '')} {given.get('id', '')}".strip()
-        outside = parent.outside or self._outside(tag, attrs)
+        dropped, by_name = self._outside(tag, attrs)
         words = _words(names)
         hint = 2.0 if tag in ("article", "main") else 1.3 if words & INSIDE else 1.0
         header = parent.header or tag == "header" or (bool(words & HEADER) and tag not in HEADINGS and tag not in ("article", "main"))
         article = parent.article or tag in ("article", "main") or bool(words & ARTICLE)
-        node = Node(tag, f"{parent.path}>{_step(tag, names)}", parent, outside, hint, header, article, bool(words & ARTICLE))
+        node = Node(tag, f"{parent.path}>{_step(tag, names)}", parent, parent.dropped or dropped, by_name, hint, header, article, bool(words & ARTICLE))
         self.stack.append(node)
         self.nodes.append(node)
 
-    def _outside(self, tag, attrs) -> bool:
+    def _outside(self, tag, attrs) -> tuple[bool, bool]:
+        """Whether an element is outside for certain, by its tag or because it is hidden, and whether by a name."""
         if tag in DROPPED:
-            return True
+            return True, False
+        by_name = False
         for name, value in attrs:
             value = value or ""
-            if self.by_name and name in ("class", "id", "role") and _names_outside(value):
+            if name in ("class", "id", "role") and _names_outside(value):
                 # A headline's or an article's own class may carry such a word; a container's decides.
-                return tag not in HEADINGS and tag not in ("main",) and not (tag == "article" and not _words(value) & {"comment", "comments", "reply", "related", "ad", "ads", "advert", "sponsored", "promo", "widget"})
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-            if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        return False
+                by_name = by_name or tag not in HEADINGS and tag not in ("main",) and not (tag == "article" and not _words(value) & {"comment", "comments", "reply", "related", "ad", "ads", "advert", "sponsored", "promo", "widget"})
+            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+                return True, False
+            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+                return True, False
+        return False, by_name
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -186,21 +221,24 @@ class Page(HTMLParser):
             self._pop()
 
     def handle_data(self, data):
-        if not self.stack[-1].outside:
+        if not self.stack[-1].dropped:
             self.pieces.append(data)
             if self.in_link:
                 self.linked += len(data)
 
     @staticmethod
-    def _counts(node: Node) -> bool:
-        """A page's header is outside the article; of an article's header the headlines belong to it."""
-        return not node.outside and (not node.header or (node.article and node.tag in HEADINGS))
+    def _counts(node: Node, text: str, linked: int) -> bool:
+        """A page's header is outside the article; of an article's header the headlines and lead paragraphs belong to it."""
+        if not node.header:
+            return True
+        lead = node.tag == "p" and len(text) >= LEAD and linked <= MOST_LINKED * len(text)
+        return node.article and (node.tag in HEADINGS or lead)
 
     def best_path(self) -> str | None:
         """The path of the best container; None for a page without text. The root's path is empty."""
         top = None
         for node, text, linked in self.blocks:
-            if not self._counts(node):
+            if not self._counts(node, text, linked):
                 continue
             worth = (len(text) - linked) * (1.0 if len(text) >= 25 else 0.3)
             if node.tag in ("p", "li", "pre", "blockquote", "td", "th", "dt", "dd", "tr", "ul", "ol", "table", "tbody") or node.tag in HEADINGS:
@@ -231,7 +269,7 @@ class Page(HTMLParser):
         levels = {id(node): k for k, node in enumerate(chain)}
         rest: dict[int, list] = {}
         for node, text, linked in self.blocks:
-            if self._counts(node):
+            if self._counts(node, text, linked):
                 at = node
                 while id(at) not in levels:
                     at = at.parent
@@ -251,8 +289,8 @@ class Page(HTMLParser):
     def text_under(self, path: str) -> str:
         """Blocks of all containers of this path."""
         out = []
-        for node, text, _ in self.blocks:
-            if self._counts(node):
+        for node, text, linked in self.blocks:
+            if self._counts(node, text, linked):
                 at = node
                 while at is not None and at.path != path:
                     at = at.parent
@@ -264,15 +302,6 @@ class Page(HTMLParser):
         return {n.path for n in self.nodes if not n.outside}
 
 
-def read_page(html: str) -> Page:
-    """The page; where names would rule out all of a page that has an article, they count for nothing."""
-    page = Page(html)
-    nothing = not any(page._counts(node) for node, _, _ in page.blocks)
-    if nothing and re.search("<(article|main)[ >]", html, re.IGNORECASE):
-        return Page(html, by_name=False)
-    return page
-
-
 def _host(url: str | None) -> str:
     found = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", url or "")
     return found[1].rpartition("@")[2].lower() if found else ""
@@ -283,7 +312,7 @@ def votes(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for urls, htmls in column_rows(batches, "url", "html"):
-            cast = [(_host(u), read_page(h).best_path()) for u, h in zip(urls, htmls) if h]
+            cast = [(_host(u), Page(h).best_path()) for u, h in zip(urls, htmls) if h]
             cast = [c for c in cast if c[1] is not None]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[0] for c in cast], pa.string()), pa.array([c[1] for c in cast], pa.string())], ["host", "path"]
@@ -336,7 +365,7 @@ def _by_join(pages: DataFrame, counted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, hosts, htmls in column_rows(batches, "key", "host", "html"):
-            rows = [(k, h, p) for k, h, html in zip(keys, hosts, htmls) if html for p in read_page(html).paths()]
+            rows = [(k, h, p) for k, h, html in zip(keys, hosts, htmls) if html for p in Page(html).paths()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
                  pa.array([r[2] for r in rows], pa.string())], ["key", "host", "path"]
@@ -365,7 +394,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for ids, urls, htmls, hosts, chosen in column_rows(batches, "page_id", "url", "html", "host", "chosen"):
             texts = []
             for html, host, path in zip(htmls, hosts, chosen):
-                page = read_page(html) if html else None
+                page = Page(html) if html else None
                 if page is None:
                     texts.append("")
                     continue

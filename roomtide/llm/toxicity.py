@@ -4,8 +4,9 @@ Features of a text, each counted once: its lower-cased words, the words' beginni
 (which stand for inflected forms), pairs of neighbours, and pairs with one or two words between them. Every
 coordinate has its own learning rate, and L1 keeps most weights at exactly zero, so a model is a short list.
 
-Training reads at most ``max_examples`` labelled texts, those of the lowest hash of doc_id, and of these as many as
-have ``MOST_FEATURES`` features together: one task holds them. Nothing else is sampled; every text is scored whole.
+Training reads at most ``max_examples`` labelled texts, those of the lowest hash of doc_id, and of these, in the same
+order, as many as have ``max_features`` features together (four bytes each): one task holds them. Nothing else is
+sampled; every text is scored whole.
 
 Defined cases: null and empty texts have no features and get the score of the bias; a doc_id with several
 labels counts as toxic if one of them says so; null labels and null doc_ids are not learned from; without any label
@@ -31,7 +32,7 @@ SIZE = 1 << BITS
 STEMS = (4, 5, 6)
 REMEMBERED_WORDS = 100_000
 HELD_OUT_FOLDS = 5
-MOST_FEATURES = 40_000_000  # of four bytes each
+MAX_EXAMPLES, MAX_FEATURES = 12_000, 40_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,14 +82,14 @@ class Ftrl:
         self.n[at] = n + slope * slope
 
 
-def train(labelled: DataFrame, epochs: int = 4, **rates: float) -> list[tuple[int, float]]:
+def train(labelled: DataFrame, epochs: int = 4, max_features: int = MAX_FEATURES, **rates: float) -> list[tuple[int, float]]:
     """Non-zero weights from rows (doc_id, text, toxic), at most 2^20 and a bias; a bounded input, one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for ids, texts, labels in column_rows(batches, "doc_id", "text", "toxic"):
             for doc_id, text, label in zip(ids, texts, labels):
-                if held > MOST_FEATURES:
+                if held > max_features:
                     break
                 at = np.append(np.unique(features(text)), SIZE).astype(np.int32)
                 held += len(at)
@@ -170,7 +171,7 @@ def fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % HELD_OUT_FOLDS
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 12_000) -> list[tuple[int, float]]:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_features: int = MAX_FEATURES) -> list[tuple[int, float]]:
     """Weights learned from the labelled rows outside the held-out fold."""
     chosen = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold() != 0))
@@ -181,10 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 12_000) -> list[
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    return train(known)
+    return train(known, max_features=max_features)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, max_examples: int = 12_000) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_features: int = MAX_FEATURES) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    weights = fit(docs, labels, max_examples)
+    weights = fit(docs, labels, max_examples, max_features)
     return score(docs, weights).select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -120,6 +120,50 @@ def test_classifier_ignores_held_out_labels_and_knows_nothing_without_labels(doc
     assert kept.columns == docs([]).columns and len(rows) > kept.count() - len(ODD) > 0.7 * len(rows)
 
 
+class PlainFtrl:
+    """One coordinate at a time, as the update rule is written."""
+
+    def __init__(self, alpha, beta, l1, l2, bias):
+        self.alpha, self.beta, self.l1, self.l2, self.bias = alpha, beta, l1, l2, bias
+        self.z, self.n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(self, i):
+        l1 = 0.0 if i == self.bias else self.l1
+        if abs(self.z[i]) <= l1:
+            return 0.0
+        return -(self.z[i] - math.copysign(l1, self.z[i])) / ((self.beta + math.sqrt(self.n[i])) / self.alpha + self.l2)
+
+    def learn(self, at, label):
+        weights = {i: self.weight(i) for i in at}
+        slope = 1 / (1 + math.exp(-sum(weights.values()))) - label
+        for i in at:
+            change = (math.sqrt(self.n[i] + slope**2) - math.sqrt(self.n[i])) / self.alpha
+            self.z[i] += slope - change * weights[i]
+            self.n[i] += slope**2
+
+
+def test_ftrl_equals_the_plain_rule():
+    rng = np.random.default_rng(6)
+    model, plain = toxicity.Ftrl(0.5, 1.0, 0.3, 0.1), PlainFtrl(0.5, 1.0, 0.3, 0.1, toxicity.SIZE)
+    for _ in range(300):
+        at = np.append(np.unique(rng.integers(0, 60, 8)), toxicity.SIZE)
+        label = int(at[0] < 5)
+        model.learn(at, label)
+        plain.learn(at.tolist(), label)
+    seen = np.append(np.arange(60), toxicity.SIZE)
+    assert model.weights(seen) == pytest.approx([plain.weight(i) for i in seen.tolist()])
+
+
+def test_training_bounds_and_contradicting_labels(docs, spark):
+    rows, labels = labelled(6, 120)
+    table = spark.createDataFrame([*labels, *((i, 1 - y) for i, y in labels)], "doc_id long, toxic int")
+    toxic = spark.createDataFrame([(i, 1) for i, _ in labels], "doc_id long, toxic int")
+    assert toxicity.fit(docs(rows), table) == toxicity.fit(docs(rows), toxic)  # one label that says so counts
+    plain = spark.createDataFrame(labels, "doc_id long, toxic int")
+    few = toxicity.fit(docs(rows), plain, max_features=1)
+    assert few and len(few) < len(toxicity.fit(docs(rows), plain))  # a single text was learned from
+
+
 def test_ftrl_is_sparse_and_learns():
     rng = np.random.default_rng(5)
     model = toxicity.Ftrl(l1=2.0)
@@ -181,7 +225,7 @@ def test_extraction(spark):
      "Layout cell with many words in it, and more"),
 ])
 def test_pages(html, text):
-    page = extraction.read_page(html)
+    page = extraction.Page(html)
     path = page.best_path()
     assert (page.text_under(path) if path is not None else "") == text
 
@@ -199,7 +243,7 @@ LEAD, ONE, TWO = ("%s of the text that is long enough to count" % w for w in ("T
 ])
 def test_pages_of_containers_without_article_tags(html, text):
     """Headline, lead and sections beside the largest container are parts of the article."""
-    page = extraction.read_page("<body>" + html.format(LEAD, ONE, TWO) + "</body>")
+    page = extraction.Page("<body>" + html.format(LEAD, ONE, TWO) + "</body>")
     assert page.text_under(page.best_path()) == text.format(LEAD, ONE, TWO)
 
 
@@ -228,6 +272,37 @@ def test_a_host_may_have_many_paths(spark, monkeypatch, broadcast):
     assert [got[9000 + k] for k in range(len(kinds))] == ["short story of this one page"] * len(kinds)
 
 
+ARTICLE_TEXTS = ["A lead paragraph of the article that says what it is about, at some length.", "First paragraph with enough words to count as text.", "Second paragraph, which ends the article after a while."]
+MENU = '<ul class="menu"><li><a href="/a">Start page</a><li><a href="/b">All of the articles</a></ul>'
+
+
+@pytest.mark.parametrize("opening", [
+    '<div class="post-12 category-social-science">', '<div class="story tag-advert">', '<div id="content-form">', '<div class="beitrag kategorie-werbung">',
+    '<div id="anzeige-inhalt">', '<div class="wrap social"><div class="related post">',
+])
+def test_names_do_not_rule_out_a_whole_article(spark, opening):
+    body = f"{MENU}{opening}<h1>Headline</h1>{''.join(f'<p>{t}</p>' for t in ARTICLE_TEXTS)}{'</div>' * opening.count('<div')}<div class='footer'>Imprint and more</div>"
+    wanted = "\n".join(["Headline", *ARTICLE_TEXTS])
+    assert extraction.Page(f"<body>{body}</body>").best_path()
+    pages = spark.createDataFrame([(k, "https://one.example/p", f"<html><body>{body}</body></html>") for k in range(20)], "page_id long, url string, html string")
+    assert {r.text for r in extraction.extract(pages).collect()} == {wanted}
+
+
+@pytest.mark.parametrize("name", ["comments", "kommentare", "commentaires", "comentarios"])
+def test_comments_stay_outside_though_they_are_longer(name):
+    said = "".join(f"<p>Reader number {k} has a lot to say about all of this, as ever.</p>" for k in range(9))
+    page = extraction.Page(f"<body><div class='artikel'><h1>Headline</h1>{''.join(f'<p>{t}</p>' for t in ARTICLE_TEXTS)}</div><div class='{name}'>{said}</div></body>")
+    assert page.text_under(page.best_path()) == "\n".join(["Headline", *ARTICLE_TEXTS])
+
+
+def test_lead_paragraphs_in_the_header_of_an_article():
+    page = extraction.Page(
+        f"<body><header><p>The long slogan of a site, which says nothing about any article on it.</p></header><article><header><h1>Headline</h1>"
+        f"<p class='lead'>{ARTICLE_TEXTS[0]}</p><p>By a person</p></header><p>{ARTICLE_TEXTS[1]}</p><p>{ARTICLE_TEXTS[2]}</p></article></body>"
+    )
+    assert page.text_under(page.best_path()) == "\n".join(["Headline", *ARTICLE_TEXTS])
+
+
 TURNS = [
     (0, 0, "user", "hi"), (0, 1, "assistant", "a"), (0, 2, "user", "q"), (1, 0, "user", "hi"), (1, 1, "assistant", "b<|im_end|>"),
     (2, 0, "user", "x"), (2, 1, "assistant", "y"), (3, 0, "user", "x"), (3, 1, "assistant", "y"), (3, 1, "assistant", "y"),
