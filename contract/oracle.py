@@ -370,6 +370,8 @@ def oracle_sql() -> dict[str, str]:
         activity=ACTIVITY,
         a="select *, ts as session_start, ts as session_end from activity",
     )
+    sql["session_summary_stream"] = sql["session_summary"]
+    sql["likes_by_stretch"] = sql["like_carry_forward"]
     sql["session_summary_daily"] = with_bronze(
         f"select * exclude (_d) from ({summary('a', 'streamer, session_start, session_end', '')}) z",
         activity=ACTIVITY,

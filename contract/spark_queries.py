@@ -39,7 +39,7 @@ from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
 from roomtide.sources.registry_files import read_snapshot
 from roomtide.streaming import gate as stream_gate
-from roomtide.streaming import views
+from roomtide.streaming import states, views
 from roomtide.streaming.heartbeat import read_heartbeat, start_heartbeat
 from roomtide.streaming.live import compact_live, read_live, read_quarantine, start_archive, start_live
 from roomtide.streaming.registry import read_latest, start_registry
@@ -358,6 +358,34 @@ def distinct_stream(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, counted)
 
 
+@job("session-states")
+def session_states_of(spark, sf_dir, root):
+    """All envelopes in three parts, the newest first, as session totals; the first two folded."""
+    day = F.dayofmonth(event_time(F.col("received_at")))
+    for part in (2, 0, 1):
+        bronze(spark, sf_dir).where(day % 3 == part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(ENVELOPE).parquet(f"{root}/in")
+        states.start_sessions(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    states.compact_sessions(spark, f"{root}/out", upto=1)
+
+
+def session_summary_stream(spark, sf_dir):
+    return states.read_sessions(spark, f"{session_states_of(spark, sf_dir)}/out")
+
+
+def likes_by_stretch(spark, sf_dir):
+    """Running like totals of two stretches of time, each read without what came before it."""
+    root = scratch(spark, "likes")
+    likes = zoned(spark_input(spark, sf_dir, inputs.LIKES_WITH_GAPS), "event_timestamp")
+    for part in range(3):
+        states.write_likes(likes.where(F.col("event_id") % 3 == part), root, part, ("event_id",))
+    states.compact_likes(likes, root, 1, ("event_id",))
+    low, high = likes.agg(*[F.floor(F.unix_seconds(f("event_timestamp")) / 300) for f in (F.min, F.max)]).first()
+    cut = (low + high) // 2
+    parts = [states.carried_likes(likes, root, a, b, ("event_id",)) for a, b in ((low, cut), (cut, high + 1))]
+    return parts[0].unionByName(parts[1])
+
+
 @job("registry-stream")
 def registry_stream_of(spark, sf_dir, root):
     """The log in three parts, each arriving after the one before has been folded."""
@@ -522,6 +550,8 @@ def queries():
         "handle_normalize": handles,
         "like_carry_forward": carried_likes,
         "session_summary": lambda s, d: sessions.session_summary(bronze(s, d)),
+        "session_summary_stream": session_summary_stream,
+        "likes_by_stretch": likes_by_stretch,
         "session_summary_daily": daily_session_summary,
         "session_bounds": lambda s, d: sessions.derive_sessions(bronze(s, d)),
         "session_top_gifts": lambda s, d: sessions.session_top(bronze(s, d), "gift"),

@@ -13,6 +13,8 @@ from roomtide.operators.silver import text_column, with_payload_text
 
 SESSION = ("streamer", "session_start", "session_end")
 HOUR = 3600
+LIKE_BUCKET = 300
+LAST_READINGS = {"last_viewer_count": "viewers", "total_likes": "room_likes"}  # result <- value
 
 
 def activity(envelope: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -102,17 +104,25 @@ def session_summary(envelope: DataFrame, sessions: DataFrame | None = None) -> D
         events = _in_sessions(events, sessions).unionByName(
             sessions.select(*SESSION), allowMissingColumns=True
         )
+    return with_rates(events.groupBy(*keys).agg(*bounds, *session_sums(), *[
+        F.coalesce(_last(value), F.lit(0)).alias(name) for name, value in LAST_READINGS.items()
+    ]))
+
+
+def session_sums() -> list[Column]:
+    """What adds up over a session's events."""
     final = F.col("is_final")
     unpriced = final & F.col("usd_value").isNull()
-    totals = events.groupBy(*keys).agg(
-        *bounds,
+    return [
         F.coalesce(F.sum(F.when(final, F.col("coins"))), F.lit(0)).alias("total_diamonds"),
         F.coalesce(F.sum(F.when(final, F.col("usd_value"))), F.lit(0.0)).alias("priced"),
         F.coalesce(F.sum(F.when(unpriced, F.col("coins"))), F.lit(0)).alias("unpriced"),
         F.count_if(F.col("event_type") == "comment").alias("total_comments"),
-        F.coalesce(_last("viewers"), F.lit(0)).alias("last_viewer_count"),
-        F.coalesce(_last("room_likes"), F.lit(0)).alias("total_likes"),
-    )
+    ]
+
+
+def with_rates(totals: DataFrame) -> DataFrame:
+    """Money, duration and rates per minute from a session's sums and bounds."""
     usd = F.col("priced") + F.col("unpriced") * F.lit(0.005)
     seconds = seconds_between(F.col("session_start"), F.col("session_end"))
 
@@ -161,11 +171,23 @@ def session_top(envelope: DataFrame, by: str = "gift", n: int | None = None,
     return top
 
 
-def carry_like_total(likes: DataFrame, bucket_seconds: int = 300, tie_break: tuple[str, ...] = ()) -> DataFrame:
+def like_closings(likes: DataFrame, bucket_seconds: int = LIKE_BUCKET, tie_break: tuple[str, ...] = ()) -> DataFrame:
+    """(streamer, bucket, closing, closing_at): the last known room like total of each bucket of time, and its place."""
+    total = F.col("total_room_likes")
+    place = F.struct("event_timestamp", *tie_break) if tie_break else F.col("event_timestamp")
+    known = F.when(total.isNotNull(), place)
+    return likes.groupBy("streamer", time_bucket(F.col("event_timestamp"), bucket_seconds).alias("bucket")).agg(
+        F.max_by(total, known).alias("closing"), F.max(known).alias("closing_at")
+    )
+
+
+def carry_like_total(likes: DataFrame, bucket_seconds: int = LIKE_BUCKET, tie_break: tuple[str, ...] = (),
+                     earlier: DataFrame | None = None) -> DataFrame:
     """Fill an absent room like total with the streamer's previous one, 0 before the first.
 
     Within a time bucket a window looks back; across buckets only each bucket's last total travels.
-    So the unbounded look-back runs over one row per bucket of time.
+    So the unbounded look-back runs over one row per bucket of time. ``earlier`` (streamer, bucket, closing) brings the
+    closings of buckets that ``likes`` has no rows of.
     """
     bucketed = likes.withColumn("_bucket", time_bucket(F.col("event_timestamp"), bucket_seconds))
     order = ["event_timestamp", *tie_break]
@@ -183,6 +205,10 @@ def carry_like_total(likes: DataFrame, bucket_seconds: int = 300, tie_break: tup
         Window.partitionBy("streamer").orderBy("_bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    if earlier is not None:
+        closing = closing.unionByName(
+            earlier.select("streamer", F.col("bucket").alias("_bucket"), F.col("closing").alias("_closing"))
+        )
     carried = closing.select(
         "streamer", "_bucket", F.last("_closing", ignorenulls=True).over(before).alias("_carried")
     )
