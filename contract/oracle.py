@@ -532,6 +532,15 @@ def oracle_sql() -> dict[str, str]:
  coalesce(streamer, '') as streamer, count(*) as n from env where event_type in ({', '.join(f"'{k}'" for k in TABLES)}) group by 1, 2""",
         p=f"select value, {problem} as reason from (select distinct value from src) d", env=routed["env"],
     )
+    sql["quarantine_repaired"] = with_input(
+        inputs.LINES,
+        " union all ".join(
+            f"select '{table}' as item, count(*) as n from r where json_extract_string(value, '$.event_type') = '{kind}'"
+            for kind, table in TABLES.items()
+        ) + " union all select reason, count(*) from p where reason = 'malformed_json' group by 1",
+        p=f"select value, {problem} as reason from src",
+        r="""select replace(value, '"received_at":"x', '"received_at":"') as value from p where reason is null or reason = 'bad_timestamp'""",
+    )
     sql["live_view_whales"] = sql["live_stream_whales"]
     sql["live_view_streaks"] = with_input(inputs.LINES, streak("t"), **routed, t=typed_sql("gifts", "live", "env"))
     sql["live_view_verticals"] = with_input(

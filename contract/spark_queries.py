@@ -39,7 +39,7 @@ from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
 from roomtide.sources.registry_files import read_snapshot
 from roomtide.streaming import gate as stream_gate
-from roomtide.streaming import states, views
+from roomtide.streaming import repairs, states, views
 from roomtide.streaming.heartbeat import read_heartbeat, start_heartbeat
 from roomtide.streaming.live import compact_live, read_live, read_quarantine, start_archive, start_live
 from roomtide.streaming.registry import read_latest, start_registry
@@ -386,6 +386,29 @@ def likes_by_stretch(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@job("repairs")
+def repaired_of(spark, sf_dir, root):
+    """The damaged lines in two batches; lines with a damaged time are corrected, and the repair is repeated."""
+    lines = spark_input(spark, sf_dir, inputs.LINES)
+    for part in range(2):
+        lines.where(F.col("event_id") % 2 == part).select("value").write.mode("append").text(f"{root}/in")
+        start_live(file_lines(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    right = F.replace("value", F.lit('"received_at":"x'), F.lit('"received_at":"'))
+    corrected = lines.select(F.col("value").alias("raw"), right.alias("value"))
+    for _ in range(2):
+        repairs.repair_quarantine(spark, f"{root}/out", corrected)
+
+
+def quarantine_repaired(spark, sf_dir):
+    """What the live tables hold after the repairs, and what still waits."""
+    root = f"{repaired_of(spark, sf_dir)}/out"
+    left = repairs.waiting(spark, root).groupBy(F.col("reason").alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    for table in TABLES.values():
+        rows = repairs.read_with_repairs(spark, root, table)
+        left = left.unionByName(rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(table).alias("item"), "n"))
+    return left
+
+
 @job("registry-stream")
 def registry_stream_of(spark, sf_dir, root):
     """The log in three parts, each arriving after the one before has been folded."""
@@ -583,6 +606,7 @@ def queries():
         "retention_cut": lambda s, d: retained(silver(s, d, "gifts", "live"), F.expr(RETENTION_NOW)),
         "quarantine": lambda s, d: quarantined(parse_envelopes(spark_input(s, d, inputs.LINES))),
         "live_routing": live_routing,
+        "quarantine_repaired": quarantine_repaired,
         "live_stream_whales": live_whales,
         "live_view_whales": lambda s, d: live_view(s, d, "npc_whale_analytics"),
         "live_view_streaks": lambda s, d: live_view(s, d, "npc_streak_dynamics"),

@@ -12,7 +12,7 @@ JOBS = {
     "archived_days", "nightly_slice", "live_routing", "live_stream_whales", "nightly_run", "nightly_quarantine", "local_run",
     "registry_stream", "archive_stream", "pipeline", "live_view_whales", "live_view_streaks", "live_view_verticals",
     "live_retention", "probation_stream", "registry_snapshot", "catalog_tables", "distinct_stream",
-    "session_summary_stream", "likes_by_stretch",
+    "session_summary_stream", "likes_by_stretch", "quarantine_repaired",
 }
 
 

@@ -16,6 +16,7 @@ from roomtide.sinks.messages import to_messages
 from roomtide.sources.archive import read_all_days
 from roomtide.sources.envelopes import good, parse_envelopes, quarantined
 from roomtide.sources.kafka import file_lines
+from roomtide.streaming import repairs
 from roomtide.streaming.heartbeat import count_batch, read_heartbeat, start_heartbeat
 from roomtide.streaming.live import compact_live, read_live, read_quarantine, route_batch, start_archive, start_live
 from roomtide.streaming.registry import advance, read_latest, read_version, start_registry
@@ -190,6 +191,34 @@ def test_compaction_loses_and_doubles_nothing(spark, tmp_path, envelope):
     assert left == {m: ["batch_id=5", "batch_id=6", "batch_id=7", "batch_id=8"] for m in ("yyyymm=202401", "yyyymm=202402")}
 
 
+def test_corrected_lines_are_replayed_once(spark, tmp_path, envelope, monkeypatch):
+    out = str(tmp_path / "out")
+    good_line = to_messages(envelope(event("like", "{}"))).first().value
+    bad = ['{"broken"', good_line.replace("2024-01-01", "someday"), good_line.replace("2024-01-01", "never")]
+    table = lambda *rows_: spark.createDataFrame(list(rows_), "raw string, value string")
+    for number in range(2):
+        lines = spark.createDataFrame([(v,) for v in [good_line, *bad, bad[1]]], "value string")
+        route_batch(lines, number, out)
+    assert read_live(spark, out, "likes").count() == 2 and repairs.waiting(spark, out).count() == 8
+    fixes = table((bad[1], good_line), (bad[1], good_line), (bad[1], "still {"), (bad[2], "no json"), ("unknown", good_line))
+    real = repairs.route_batch
+
+    def failing(*args):
+        real(*args)
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(repairs, "route_batch", failing)
+        with pytest.raises(OSError):
+            repairs.repair_quarantine(spark, out, fixes)
+    assert repairs.read_with_repairs(spark, out, "likes").count() == 2  # nothing of the failed one is seen
+    assert [repairs.repair_quarantine(spark, out, fixes) for _ in range(2)] == [4, 0]
+    assert repairs.read_with_repairs(spark, out, "likes").count() == 6 and repairs.waiting(spark, out).count() == 4
+    assert repairs.repair_quarantine(spark, out, table((bad[0], good_line))) == 2
+    assert repairs.read_with_repairs(spark, out, "likes").count() == 8
+    assert {r.raw for r in repairs.waiting(spark, out).collect()} == {bad[2]}
+
+
 def test_the_latest_complete_version_is_read(spark, tmp_path):
     log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts"))
     root = str(tmp_path / "registry")
