@@ -15,21 +15,22 @@ WITH_CORRUPT = T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringTy
 MALFORMED, UNDATED = "malformed_json", "bad_timestamp"
 
 
-def parse_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_envelopes(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Each line's envelope, its text as ``raw``, and ``problem``: NULL, ``MALFORMED`` or ``UNDATED``.
 
-    ``data`` stays the text it was. Missing envelope fields are NULL; blank lines are skipped.
+    ``data`` stays the text it was. Missing envelope fields are NULL; blank lines are skipped. ``keep`` names further
+    columns of the input that stay.
     """
     lenient = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     # The one-row generator keeps Spark from parsing again for each filter on a parsed column.
-    parsed = lines.select(F.col(column).cast("string").alias("raw")).withColumn(
+    parsed = lines.select(*keep, F.col(column).cast("string").alias("raw")).withColumn(
         "e", F.explode(F.array(F.from_json("raw", WITH_CORRUPT, lenient)))
     )
     malformed = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull()
     blank = malformed & (F.length(F.trim("raw")) == 0)
     undated = event_time(F.col("e.received_at")).isNull()
     problem = F.when(malformed, MALFORMED).when(undated, UNDATED)
-    return parsed.where(~blank).select("raw", *[f"e.{c}" for c in ENVELOPE_COLUMNS], problem.alias("problem"))
+    return parsed.where(~blank).select(*keep, "raw", *[f"e.{c}" for c in ENVELOPE_COLUMNS], problem.alias("problem"))
 
 
 def good(parsed: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ fails is done again under its number, and one that is repeated finds nothing lef
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,12 @@ def _repairs(spark: SparkSession, out_root: str) -> list[int]:
     return sorted(int(n.removeprefix("repair=")) for n in names if "_SUCCESS" in child_names(spark, f"{root}/{n}"))
 
 
+def _shuffled(lines: DataFrame) -> DataFrame:
+    """One row for each of many lines. Packed files and shuffles let Spark take them for small, so the hint keeps them
+    from being broadcast through the driver."""
+    return lines.hint("merge")
+
+
 def repaired_lines(spark: SparkSession, out_root: str) -> DataFrame:
     """(line, batch_id, lines, repair): digest and batch of repaired lines, and how often the batch had them."""
     folders = [f"{_root(out_root)}/repaired/repair={n}" for n in _repairs(spark, out_root)]
@@ -39,7 +46,8 @@ def repaired_lines(spark: SparkSession, out_root: str) -> DataFrame:
 def waiting(spark: SparkSession, out_root: str) -> DataFrame:
     """The quarantine without what has been repaired: raw, reason, batch_id."""
     held = read_quarantine(spark, out_root).withColumn("line", F.sha2("raw", 256))
-    return held.join(repaired_lines(spark, out_root).select("line", "batch_id"), ["line", "batch_id"], "left_anti").drop("line")
+    repaired = repaired_lines(spark, out_root).select("line", "batch_id")
+    return held.join(_shuffled(repaired), ["line", "batch_id"], "left_anti").drop("line")
 
 
 def repair_quarantine(spark: SparkSession, out_root: str, corrected: DataFrame) -> int:
@@ -50,15 +58,18 @@ def repair_quarantine(spark: SparkSession, out_root: str, corrected: DataFrame)
     """
     done = _repairs(spark, out_root)
     number = done[-1] + 1 if done else 0
-    readable = parse_envelopes(corrected.select("value").distinct()).where(F.col("problem").isNull())
-    fixes = corrected.join(readable.select(F.col("raw").alias("value")).distinct(), "value", "left_semi")
-    fixes = fixes.groupBy(F.sha2("raw", 256).alias("line")).agg(F.min("value").alias("value"))
     held = waiting(spark, out_root).groupBy(F.sha2("raw", 256).alias("line"), "batch_id").agg(F.count(F.lit(1)).alias("lines"))
-    matched = held.join(fixes, "line")
-    each = matched.select("value", F.explode(F.sequence(F.lit(1), F.col("lines").cast("int")))).select("value")
-    route_batch(each, number, _root(out_root))
-    folder = f"{_root(out_root)}/repaired/repair={number}"
-    matched.select("line", "batch_id", "lines").write.mode("overwrite").parquet(folder)
+    wanted = corrected.withColumn("line", F.sha2("raw", 256)).join(_shuffled(held.select("line")), "line", "left_semi")
+    readable = parse_envelopes(wanted, keep=("line",)).where(F.col("problem").isNull())
+    fixes = readable.groupBy("line").agg(F.min("raw").alias("value"))
+    matched = held.join(_shuffled(fixes), "line").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        each = matched.select("value", F.explode(F.sequence(F.lit(1), F.col("lines").cast("int")))).select("value")
+        route_batch(each, number, _root(out_root))
+        folder = f"{_root(out_root)}/repaired/repair={number}"
+        matched.select("line", "batch_id", "lines").write.mode("overwrite").parquet(folder)
+    finally:
+        matched.unpersist()
     return spark.read.schema("line string, batch_id bigint, lines bigint").parquet(folder).agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
 
 

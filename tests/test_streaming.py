@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import SF_DIR, event
+from conftest import SF_DIR, event, plan_of
 from pyspark.sql import functions as F
 
 from contract import inputs
@@ -219,6 +219,24 @@ def test_corrected_lines_are_replayed_once(spark, tmp_path, envelope, monkeypatc
     assert {r.raw for r in repairs.waiting(spark, out).collect()} == {bad[2]}
 
 
+def test_repairs_send_no_lines_through_the_driver(spark, tmp_path, envelope, monkeypatch):
+    out, plans = str(tmp_path / "out"), []
+    good_line = to_messages(envelope(event("like", "{}"))).first().value
+    bad = good_line.replace("2024-01-01", "someday")
+    route_batch(spark.createDataFrame([(bad,), (good_line,)], "value string"), 0, out)
+    real = repairs.route_batch
+
+    def seen(lines, *more):
+        plans.append(plan_of(lines))
+        real(lines, *more)
+
+    monkeypatch.setattr(repairs, "route_batch", seen)
+    fixes = spark.createDataFrame([(bad, good_line)], "raw string, value string")
+    assert [repairs.repair_quarantine(spark, out, fixes) for _ in range(2)] == [1, 0]
+    plans.append(plan_of(repairs.waiting(spark, out)))
+    assert all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in plans)
+
+
 def test_the_latest_complete_version_is_read(spark, tmp_path):
     log = as_registry_events(zoned(spark_input(spark, SF_DIR, inputs.REGISTRY_LOG), "ts"))
     root = str(tmp_path / "registry")
