@@ -6,7 +6,7 @@ import functools
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -283,11 +283,16 @@ def local_run(spark, sf_dir):
 def gate_stream_of(spark, sf_dir, root):
     """Events and sessions in three parts, by time, through the streaming gate; then a message of a later time."""
     envelope = bronze(spark, sf_dir)
-    messages = envelope.unionByName(stream_gate.control_messages(daily_sessions(envelope)))
+    told = cut_lineage(daily_sessions(envelope))
+    messages = envelope.unionByName(stream_gate.control_messages(told))
     at = event_time(F.col("received_at"))
     later = spark.createDataFrame([(None, None, None, "tick", "2030-01-01T00:00:00Z", "{}")], ENVELOPE)
     cuts = ["2000-01-01", "2024-01-11", "2024-01-21", "2029-01-01"]
-    parts = [messages.where((at >= F.lit(a)) & (at < F.lit(b))) for a, b in zip(cuts, cuts[1:])]
+    # Derived once: the part is the number of cuts that a message has passed.
+    passed = functools.reduce(Column.__add__, [(at >= F.lit(cut)).cast("int") for cut in cuts])
+    messages.withColumn("part", passed).write.partitionBy("part").parquet(f"{root}/parts")
+    derived = spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField("part", T.IntegerType())])).parquet(f"{root}/parts")
+    parts = [derived.where(F.col("part") == k).drop("part") for k in range(1, len(cuts))]
     for part in [*parts, later]:
         part.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(ENVELOPE).parquet(f"{root}/in")

@@ -4,12 +4,12 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import event
+from conftest import event, plan_of
 from pyspark.sql import functions as F
 
 from roomtide.operators.gate import qualify
 from roomtide.schemas import ENVELOPE
-from roomtide.streaming.gate import add_batch, control_messages, late_events, start_gate, verdicts, watermark
+from roomtide.streaming.gate import add_batch, control_messages, late_events, start_gate, verdicts, watched, watermark
 
 ZERO = datetime(2024, 1, 1)
 
@@ -101,3 +101,19 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, envelope):
     (row,) = verdicts(spark, root, datetime(2024, 1, 2, tzinfo=timezone.utc)).collect()
     assert (row.comments, row.viewers) == (2, 7)
     assert watermark(spark, str(tmp_path / "none")).year == 1970
+
+
+def test_events_meet_only_starts_near_them(spark, envelope):
+    """1,000 sessions of one streamer and an event of each: joined on the streamer alone, each event met all starts."""
+    sessions = spark.range(1000).select(
+        F.lit("hot").alias("streamer"), F.lit("npc").alias("category"), F.timestamp_seconds(F.col("id") * 1000).alias("session_start"),
+        F.timestamp_seconds(F.col("id") * 1000 + 500).alias("session_end"),
+    )
+    comments = sessions.select(
+        "streamer", "category", F.lit("npc").alias("archetype"), F.lit("comment").alias("event_type"),
+        F.date_format(F.col("session_start") + F.expr("interval 90 seconds"), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("received_at"), F.lit("{}").alias("data"),
+    )
+    rows_ = watched(comments.unionByName(control_messages(sessions)))
+    assert rows_.where("event_type = 'comment'").count() == 1000  # the probation's end included
+    keys = next(line for line in plan_of(rows_).splitlines() if "Join" in line)
+    assert "_of_bucket" in keys.split("LeftOuter")[0]
