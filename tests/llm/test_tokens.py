@@ -1,6 +1,7 @@
 """BPE and Huffman files against the tokenizers library."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -90,6 +91,62 @@ def test_word_encoder_equals_the_library(library):
         assert np.frombuffer(encoder(text), encoder.kind).tolist() == known.encode(text, add_special_tokens=False).ids
 
 
+def test_new_short_words_are_merged_together_and_not_one_by_one(library):
+    encoder, known = huffman.WordEncoder(vocabulary("byte_bpe_50k.json")), library["byte_bpe_50k.json"]
+    asked, model = [], encoder.model
+
+    class Model:
+        def tokenize(self, word):
+            asked.append(word)
+            return model.tokenize(word)
+
+    encoder.model = Model()
+    rng = random.Random(11)
+    words = ["".join(rng.choice("aeinrstèß") for _ in range(rng.randrange(1, 16))) for _ in range(5000)]
+    text = " ".join(w + rng.choice(["", "", ",", ".\n", "12", "'s"]) for w in words) + "x " + "long" * 20
+    assert np.frombuffer(encoder(text), encoder.kind).tolist() == known.encode(text, add_special_tokens=False).ids
+    assert asked == ["\u0120" + "long" * 20]
+
+
+@pytest.mark.parametrize("places, remembered, batch", [(huffman.PLACES, huffman.REMEMBERED_PIECES, huffman.BATCH_PIECES), (1 << 9, 400, 90)])
+def test_texts_encoded_together_equal_the_library(library, monkeypatch, places, remembered, batch):
+    monkeypatch.setattr(huffman, "PLACES", places)
+    monkeypatch.setattr(huffman, "REMEMBERED_PIECES", remembered)
+    monkeypatch.setattr(huffman, "BATCH_PIECES", batch)
+    encoder, known = huffman.WordEncoder(vocabulary("byte_bpe_50k.json")), library["byte_bpe_50k.json"]
+    rng = random.Random(10)
+    texts = TRICKY + random_texts() + random_spaces(2000) + ["a\0", "a", "a\0\0"] + [prose(rng, rng.randrange(1, 300)) for _ in range(40)]
+    texts += ["".join(rng.choice("ab'1.é×÷\xb5\xaa\u0241\n\t ") for _ in range(rng.randrange(1, 40))) for _ in range(2000)]
+    expected = [np.array(e.ids, encoder.kind).tobytes() for e in known.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == expected
+    rng.shuffle(texts)
+    assert encoder.encode(texts) == [np.array(known.encode(t, add_special_tokens=False).ids, encoder.kind).tobytes() for t in texts]
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [b"", b""]
+
+
+def test_a_vocabulary_that_ignores_merges(tmp_path):
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["model"]["ignore_merges"] = True
+    spec["model"]["merges"] = spec["model"]["merges"][:1000]
+    spec["model"]["vocab"] = {**spec["model"]["vocab"], "\u0120zzq": 50257}
+    path = tmp_path / "vocabulary.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    encoder, known = huffman.WordEncoder(str(path)), Tokenizer.from_file(str(path))
+    for text in ["a zzq, and zzq", "", *TRICKY]:
+        assert np.frombuffer(encoder(text), encoder.kind).tolist() == known.encode(text, add_special_tokens=False).ids
+
+
+def test_an_encoder_that_failed_begins_anew(monkeypatch):
+    encoder = huffman.WordEncoder(vocabulary("byte_bpe_50k.json"))
+    expected = encoder("some words, and more")
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(encoder, "_pieces", lambda *_: (_ for _ in ()).throw(RuntimeError()))
+        encoder("other words, and even more")
+    assert encoder("some words, and more") == expected
+    assert encoder("other words, and even more") == huffman.WordEncoder(vocabulary("byte_bpe_50k.json"))("other words, and even more")
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 60, 3000])
 def test_huffman_codes(size):
     rng = random.Random(size)
